@@ -7,6 +7,12 @@ import tomllib
 from dataclasses import dataclass, field
 from pathlib import Path
 
+
+def _require(condition: bool, message: str) -> None:
+    if not condition:
+        raise ValueError(message)
+
+
 # The defaults below are fixed values of the analysis contract.
 
 
@@ -166,11 +172,6 @@ class SpikeRepair:
         _require(self.max_anchor_delta_deg >= 0 and self.min_correction_deg > 0, "correction limits out of range")
 
 
-def _require(condition: bool, message: str) -> None:
-    if not condition:
-        raise ValueError(message)
-
-
 def _read(path: str | Path | None) -> dict:
     if path is None:
         return {}

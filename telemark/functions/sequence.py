@@ -249,12 +249,30 @@ def islands(source: Track, flag: Column, index: str, island: str = "island") ->
 
     Rows outside a run get a null island; the numbers grow along the group.
     """
-    flagged = F.coalesce(flag, F.lit(False))
+    marked = _edges(source, flag, index)
+    marked = carry(marked, running={"_nth": F.col("_open").cast("bigint")})
+    marked = marked.derive({island: F.when(F.col("_flag"), F.col("_nth"))})
+    return replace(marked, df=marked.df.drop("_flag", "_open", "_close", "_nth"))
+
+
+def run_extent(source: Track, flag: Column, index: str, first: str = "run_first", last: str = "run_last") -> Track:
+    """On every flagged row: the first and last ``index`` of the run it belongs to."""
+    marked = _edges(source, flag, index)
     marked = carry(
-        source.derive({"_flag": flagged}),
-        prev={"_was": F.when(F.col("_flag"), F.col(index))},
+        marked,
+        last={"_start": F.when(F.col("_open"), F.col(index))},
+        first={"_end": F.when(F.col("_close"), F.col(index))},
     )
+    marked = marked.derive({first: F.when(F.col("_flag"), F.col("_start")), last: F.when(F.col("_flag"), F.col("_end"))})
+    return replace(marked, df=marked.df.drop("_flag", "_open", "_close", "_start", "_end"))
+
+
+def _edges(source: Track, flag: Column, index: str) -> Track:
+    """Flag the rows where a run opens and where it closes."""
+    marked = source.derive({"_flag": F.coalesce(flag, F.lit(False))})
+    flagged_index = F.when(F.col("_flag"), F.col(index))
+    marked = carry(marked, prev={"_was": flagged_index}, next={"_will": flagged_index})
     opens = F.col("_flag") & F.coalesce(F.col("_was") + 1 != F.col(index), F.lit(True))
-    marked = carry(marked.derive({"_open": opens.cast("bigint")}), running={"_nth": F.col("_open")})
-    marked = marked.derive({island: F.when(F.col("_flag"), F.col("_nth"))})
-    return replace(marked, df=marked.df.drop("_flag", "_was", "_open", "_nth"))
+    closes = F.col("_flag") & F.coalesce(F.col("_will") - 1 != F.col(index), F.lit(True))
+    marked = marked.derive({"_open": opens, "_close": closes})
+    return replace(marked, df=marked.df.drop("_was", "_will"))
