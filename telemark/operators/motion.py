@@ -43,21 +43,18 @@ def joint_cells(
         prev2={"_v2": F.col(values), "_t2": F.col(time)},
         next={"_vn": F.col(values), "_tn": F.col(time)},
     ).df
+    # Neighbours are missing at the ends, so they are looked up by position.
     cells = looked.select(
         *frames.keys,
         *keep,
         F.col(frame).alias("frame"),
         F.col(time).alias("_t"),
-        "_t1",
-        "_t2",
-        F.posexplode(
-            F.arrays_zip(
-                F.col(values).alias("v"), F.col("_v1").alias("v1"), F.col("_v2").alias("v2"), F.col("_vn").alias("vn")
-            )
-        ).alias("joint", "_j"),
+        *("_t1", "_t2", "_v1", "_v2", "_vn"),
+        F.posexplode(values).alias("joint", "_v"),
     )
     degrees = F.degrees if radians else (lambda x: x)
-    v, v1, v2, vn = (F.col(f"_j.{name}") for name in ("v", "v1", "v2", "vn"))
+    v = F.col("_v")
+    v1, v2, vn = (F.get(F.col(name), F.col("joint")) for name in ("_v1", "_v2", "_vn"))
     dt, dt1 = seconds_between(F.col("_t"), F.col("_t1")), seconds_between(F.col("_t1"), F.col("_t2"))
     velocity, velocity1 = (v - v1) / F.nullif(dt, F.lit(0.0)), (v1 - v2) / F.nullif(dt1, F.lit(0.0))
     acceleration = (velocity - velocity1) / F.nullif((dt1 + dt) / 2.0, F.lit(0.0))

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from telemark.config import SpikeRepair
 from telemark.functions.sequence import Track, carry, islands, track
@@ -259,12 +258,13 @@ def normal_window(frames: Track, runs: DataFrame, values: str, frame: str, secon
     rest = rows.join(good.select(*keys), keys, "left_anti")
     bucket = F.floor((F.col("_s") - F.col("run_from_s")) / width_s)
     copies = rest.withColumn("_own", bucket).withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") - 1)))
-    ahead = Window.partitionBy(*keys, "_bucket").orderBy("_s").rangeBetween(0.0, float(width_s))
-    spans = [
-        F.max(F.get(F.col(values), F.lit(j))).over(ahead) - F.min(F.get(F.col(values), F.lit(j))).over(ahead)
-        for j in range(joints)
-    ]
-    slid = copies.withColumns({"motion_deg": F.greatest(*spans), "end_frame": F.max(frame).over(ahead)})
+    group = ", ".join(f"`{name}`" for name in [*keys, "_bucket"])
+    ahead = f"OVER (PARTITION BY {group} ORDER BY _s RANGE BETWEEN CURRENT ROW AND {float(width_s)!r}D FOLLOWING)"
+    cells = {f"_c{j}": F.get(F.col(values), F.lit(j)) for j in range(joints)}
+    spans = [F.expr(f"max({name}) {ahead} - min({name}) {ahead}") for name in cells]
+    slid = copies.withColumns(cells).withColumns(
+        {"motion_deg": F.greatest(*spans), "end_frame": F.expr(f"max(`{frame}`) {ahead}")}
+    )
     slid = slid.filter(
         (F.col("_own") == F.col("_bucket")) & (F.col("end_frame") - F.col(frame) >= 2) & (F.col("motion_deg") >= 1.0)
     )

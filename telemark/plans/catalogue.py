@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from telemark.plans import streams
+from telemark.plans import frames, joints, streams
 
-QUERIES = {**streams.QUERIES}
-ORACLES = {**streams.ORACLES}
+QUERIES = {**streams.QUERIES, **joints.QUERIES, **frames.QUERIES}
+ORACLES = {**streams.ORACLES, **joints.ORACLES, **frames.ORACLES}

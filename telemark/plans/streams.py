@@ -11,6 +11,7 @@ from telemark.functions.sequence import Track, carry
 from telemark.operators import align, repair, resample, timeline
 from telemark.operators.motion import audit_gaps
 from telemark.operators.images import value_counts
+from telemark.plans.registry import Registry
 from telemark.plans.tables import (
     CAMERA_SQL,
     FRAME_NS,
@@ -25,17 +26,8 @@ from telemark.plans.tables import (
 
 FPS = 1 / 120
 THRESHOLDS_MS = (10_000.0, 60_000.0, 600_000.0)
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(function):
-        QUERIES[name] = function
-        if sql is not None:
-            ORACLES[name] = sql
-        return function
-
-    return add
+_registry = Registry()
+query, QUERIES, ORACLES = _registry.query, _registry.queries, _registry.oracles
 
 
 def _bound(spark, folder):

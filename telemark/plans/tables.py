@@ -186,7 +186,7 @@ def pictures(spark: SparkSession, folder: str) -> Track:
     line = carry(line, number="frame_index")
 
     def code(i: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(F.col("e"), i) * 1.2 + 0.74))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(F.col("e"), i) * 1.2 + 0.80))
 
     spots = F.sequence(F.lit(0), F.lit(20))
     light = F.transform(spots, lambda i: luminance(code(i * 3), code(i * 3 + 1), code(i * 3 + 2)))
@@ -198,7 +198,7 @@ shots AS (
   SELECT label AS camera, vec_id, embedding AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index
   FROM embeddings),
 codes AS (
-  SELECT camera, frame_index, p, c, greatest(0.0::DOUBLE, least(1.0::DOUBLE, e[p * 3 + c + 1]::DOUBLE * 1.2::DOUBLE + 0.74::DOUBLE)) AS code
+  SELECT camera, frame_index, p, c, greatest(0.0::DOUBLE, least(1.0::DOUBLE, e[p * 3 + c + 1]::DOUBLE * 1.2::DOUBLE + 0.80::DOUBLE)) AS code
   FROM shots, generate_series(0, 20) g(p), generate_series(0, 2) h(c)),
 lin AS (
   SELECT camera, frame_index, p, c, CASE WHEN code <= 0.04045::DOUBLE THEN code / 12.92::DOUBLE
