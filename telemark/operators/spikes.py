@@ -199,9 +199,10 @@ def abnormal_window(frames: DataFrame, events: DataFrame, extent: DataFrame, key
     )
 
 
-def _ranges(values: str, joints: int) -> list[Column]:
+def _widest_range(values: str, joints: int) -> Column:
+    """Largest range that one joint covers within the group."""
     cells = [F.get(F.col(values), F.lit(j)) for j in range(joints)]
-    return [(F.max(c) - F.min(c)) for c in cells]
+    return F.array_max(F.array(*[F.max(c) - F.min(c) for c in cells]))
 
 
 def clean_runs(frames: Track, values: str, frame: str, seconds: Column, joints: int, config: SpikeRepair) -> DataFrame:
@@ -228,7 +229,7 @@ def clean_runs(frames: Track, values: str, frame: str, seconds: Column, joints:
         F.max(frame).alias("run_end"),
         F.min("_s").alias("run_from_s"),
         F.max("_s").alias("run_to_s"),
-        F.greatest(*_ranges(values, joints)).alias("motion_deg"),
+        _widest_range(values, joints).alias("motion_deg"),
     )
     return runs.filter((F.col("run_end") - F.col("run_start") >= 2) & (F.col("motion_deg") >= 1.0)).drop("island")
 
@@ -250,7 +251,7 @@ def normal_window(frames: Track, runs: DataFrame, values: str, frame: str, secon
     middle = rows.filter(F.col("_s").between(F.col("_from"), F.col("_to"))).groupBy(*keys).agg(
         F.min(frame).alias("start_frame"),
         F.max(frame).alias("end_frame"),
-        F.greatest(*_ranges(values, joints)).alias("motion_deg"),
+        _widest_range(values, joints).alias("motion_deg"),
     )
     good = middle.filter((F.col("end_frame") - F.col("start_frame") >= 2) & (F.col("motion_deg") >= 1.0))
     # Fallback: slide over the run in time buckets of one window width, each
@@ -263,7 +264,7 @@ def normal_window(frames: Track, runs: DataFrame, values: str, frame: str, secon
     cells = {f"_c{j}": F.get(F.col(values), F.lit(j)) for j in range(joints)}
     spans = [F.expr(f"max({name}) {ahead} - min({name}) {ahead}") for name in cells]
     slid = copies.withColumns(cells).withColumns(
-        {"motion_deg": F.greatest(*spans), "end_frame": F.expr(f"max(`{frame}`) {ahead}")}
+        {"motion_deg": F.array_max(F.array(*spans)), "end_frame": F.expr(f"max(`{frame}`) {ahead}")}
     )
     slid = slid.filter(
         (F.col("_own") == F.col("_bucket")) & (F.col("end_frame") - F.col(frame) >= 2) & (F.col("motion_deg") >= 1.0)

@@ -171,7 +171,7 @@ _ACTION = ("purchase", "signup")
 def combined_residual(spark, folder):
     groups = {"state": _STATE, "action": _ACTION}
     combined = conversion.combined_residuals(streams.mappings(spark, folder), ["episode"], groups)
-    return settle(conversion.residual_report(combined, ["stream_group"]))
+    return settle(conversion.residual_report(combined, ["stream_group"], bound=streams.target_bound(spark, folder)))
 
 
 @query(
@@ -290,7 +290,8 @@ def motion_risks(spark, folder):
 
 def _motion_risks(spark, folder):
     jumps = quality.action_quality(joints._steps(spark, folder), ["episode"], 40.0)
-    tracking = quality.tracking_totals(joints._tracking(spark, folder), ["episode"])
+    bound = row_count(spark, folder, "embeddings") * 14
+    tracking = quality.tracking_totals(joints._tracking(spark, folder), ["episode"], bound=bound)
     return quality.apply_rules(jumps.join(tracking, "episode"), ["episode"], quality.motion_rules(1.6), F.lit("arm"))
 
 

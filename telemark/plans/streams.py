@@ -291,8 +291,10 @@ def _one_episode(spark, folder) -> Track:
     return Track(line.df, ("episode", *line.keys), line.order, line.segments)
 
 
-def _mappings(spark, folder):
-    return resample.target_mappings(_one_episode(spark, folder), ["episode"], FPS, "time_ns", "header_or_pub", "topic_index")
+def target_bound(spark, folder) -> int:
+    """Targets per stream, from the ends of the streams alone."""
+    grid = align.integer_grid(_spans(spark, folder), FPS)
+    return grid.agg(F.max("target_count")).first()[0] or 0
 
 
 def mappings(spark, folder):
@@ -384,7 +386,7 @@ def asof_nearest(spark, folder):
  FROM r GROUP BY topic""",
 )
 def asof_residual_stats(spark, folder):
-    return settle(resample.residual_stats(mappings(spark, folder), ["topic"], F.col("residual_ms")))
+    return settle(resample.residual_stats(mappings(spark, folder), ["topic"], F.col("residual_ms"), bound=target_bound(spark, folder)))
 
 
 @query(
@@ -395,7 +397,7 @@ def asof_residual_stats(spark, folder):
 def residual_summary(spark, folder):
     size = F.abs("residual_ms")
     wanted = {"r": (size, {"median_abs_ms": 0.5, "p95_abs_ms": 0.95})}
-    return settle(summarise(mappings(spark, folder), ["topic"], [F.max(size).alias("max_abs_ms")], wanted))
+    return settle(summarise(mappings(spark, folder), ["topic"], [F.max(size).alias("max_abs_ms")], wanted, bound=target_bound(spark, folder)))
 
 
 @query(
@@ -456,7 +458,7 @@ TOPICS = ("click", "error", "purchase", "signup", "view")
 )
 def pairwise_skew(spark, folder):
     pairs = resample.topic_pairs(mappings(spark, folder), ["episode"], TOPICS)
-    return settle(resample.residual_stats(pairs, ["left_topic", "right_topic"], to_ms(F.col("skew_ns"))))
+    return settle(resample.residual_stats(pairs, ["left_topic", "right_topic"], to_ms(F.col("skew_ns")), bound=target_bound(spark, folder)))
 
 
 @query(
@@ -470,7 +472,7 @@ def worst_pairs(spark, folder):
     pairs = resample.topic_pairs(mappings(spark, folder), ["episode"], TOPICS)
     size = F.abs(to_ms(F.col("skew_ns")))
     wanted = {"a": (size, {"abs_p95_ms": 0.95})}
-    ranked = settle(summarise(pairs, ["left_topic", "right_topic"], [], wanted))
+    ranked = settle(summarise(pairs, ["left_topic", "right_topic"], [], wanted, bound=target_bound(spark, folder)))
     return timeline.top_rows(ranked, [], [F.col("abs_p95_ms").desc(), F.col("left_topic"), F.col("right_topic")], 5)
 
 
