@@ -255,15 +255,33 @@ def islands(source: Track, flag: Column, index: str, island: str = "island") ->
     return replace(marked, df=marked.df.drop("_flag", "_open", "_close", "_nth"))
 
 
-def run_extent(source: Track, flag: Column, index: str, first: str = "run_first", last: str = "run_last") -> Track:
-    """On every flagged row: the first and last ``index`` of the run it belongs to."""
-    marked = _edges(source, flag, index)
+def run_extent(
+    source: Track,
+    flag: Column,
+    index: str,
+    first: str = "run_first",
+    last: str = "run_last",
+    *,
+    at_first: Mapping[str, Column] | None = None,
+    at_last: Mapping[str, Column] | None = None,
+) -> Track:
+    """On every flagged row: the first and last ``index`` of the run it belongs to.
+
+    ``at_first``/``at_last`` bring values from the two ends of the run.  Nothing is
+    joined, so rows outside runs do not pile up under a null key.
+    """
+    at_first, at_last = dict(at_first or {}), dict(at_last or {})
+    opening = F.struct(F.col(index).alias("i"), *[v.alias(n) for n, v in at_first.items()])
+    closing = F.struct(F.col(index).alias("i"), *[v.alias(n) for n, v in at_last.items()])
     marked = carry(
-        marked,
-        last={"_start": F.when(F.col("_open"), F.col(index))},
-        first={"_end": F.when(F.col("_close"), F.col(index))},
+        _edges(source, flag, index),
+        last={"_start": F.when(F.col("_open"), opening)},
+        first={"_end": F.when(F.col("_close"), closing)},
     )
-    marked = marked.derive({first: F.when(F.col("_flag"), F.col("_start")), last: F.when(F.col("_flag"), F.col("_end"))})
+    inside = F.col("_flag")
+    found = {first: F.col("_start.i"), last: F.col("_end.i")}
+    found |= {n: F.col("_start")[n] for n in at_first} | {n: F.col("_end")[n] for n in at_last}
+    marked = marked.derive({name: F.when(inside, value) for name, value in found.items()})
     return replace(marked, df=marked.df.drop("_flag", "_open", "_close", "_start", "_end"))
 
 

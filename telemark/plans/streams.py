@@ -656,7 +656,7 @@ def invalid_frames(spark, folder):
     f"{_FIT_SQL} SELECT topic, start_frame, end_frame, frames_in_run, bounded, method FROM kinds",
 )
 def repair_runs(spark, folder):
-    runs = repair.repair_runs(_marked(spark, folder).df, ["topic"], "fr", _ROBUST)
+    runs = repair.repair_runs(_marked(spark, folder).df, ["topic"], _ROBUST)
     return runs.select("topic", "start_frame", "end_frame", "frames_in_run", "bounded", "method")
 
 

@@ -20,8 +20,15 @@ FRAME_NS = 33_333_000
 JOINTS = 14
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Inferring a schema opens files; once per table is enough."""
+    return spark.read.parquet(path).schema
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 @lru_cache(maxsize=64)
