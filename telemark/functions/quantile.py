@@ -30,6 +30,9 @@ def summarise(
     quantiles = dict(quantiles or {})
     if not quantiles:
         return df.groupBy(*keys).agg(*aggregates)
+    if not keys:
+        whole = df.withColumn("_all", F.lit(0))
+        return summarise(whole, ["_all"], aggregates, quantiles, bound=bound).drop("_all")
     if fits_one_task(df, keys, bound):
         arrays = [
             F.percentile(value.cast("double"), F.array(*[F.lit(float(q)) for q in wanted.values()])).alias(f"_q_{name}")
@@ -45,7 +48,7 @@ def summarise(
     result = df.groupBy(*keys).agg(*(aggregates or [F.count("*").alias("_rows")]))
     for value, wanted in quantiles.values():
         ranked = select_ranks(df.select(*keys, value.cast("double").alias("_v")), keys, wanted)
-        result = result.join(ranked, list(keys), "left") if keys else result.crossJoin(F.broadcast(ranked))
+        result = result.join(ranked, list(keys), "left")
     return result.drop("_rows")
 
 

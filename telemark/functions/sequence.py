@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
+from telemark.sources.durable import durable
+
 DEFAULT_SEGMENT_ROWS = 1_000_000
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -60,6 +62,7 @@ class Track:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     segments: tuple[str, ...] = ()
+    looked: bool = False
 
     @property
     def window(self) -> WindowSpec:
@@ -167,6 +170,10 @@ def carry(
         if not (prev or next or last or first or running or number):
             return source
     if source.segments:
+        if source.looked:
+            # Rows and summary both read their input; without a cut, a chain of
+            # looks would sort the same data twice as often with every link.
+            source = replace(source, df=durable(source.df))
         source, reach = _with_summary(source, prev, next, last, first, running, number)
     else:
         reach = {}
@@ -198,7 +205,7 @@ def carry(
         inside = (F.row_number().over(window) - 1).cast("bigint")
         added[number] = inside + reach[number] if number in reach else inside
     df = source.df.withColumns(added).drop(*[f"_in_{name}" for name in reach])
-    return replace(source, df=df)
+    return replace(source, df=df, looked=True)
 
 
 def _edge(neighbour: Column, inside: Column, outside: Column | None) -> Column:

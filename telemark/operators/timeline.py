@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +22,7 @@ def steps(stream: Track, time: str) -> Track:
     stream = carry(stream, prev={"_before": F.col(time)})
     stepped = stream.derive({"step_ns": F.col(time) - F.col("_before")})
     stepped = stepped.derive({"dt_ms": to_ms(F.col("step_ns"))})
-    return Track(stepped.df.drop("_before"), stepped.keys, stepped.order, stepped.segments)
+    return replace(stepped, df=stepped.df.drop("_before"))
 
 
 def _ends(stream: Track, time: str) -> list[Column]:

@@ -355,3 +355,119 @@ def _detections(spark, folder):
 def detection_summary(spark, folder):
     frames = read(spark, folder, "lineitem").select(F.col("l_orderkey").alias("frame_index")).distinct()
     return detection.summary(frames, _detections(spark, folder), ["frame_index"])
+
+
+# --- recordings, structure, plot data, decoded pictures ---
+
+_WIRE = ["topic", "record_index", "topic_index", "sequence", "log_time_ns", "publish_time_ns", "body"]
+
+
+@query(
+    "recording_roundtrip",
+    """WITH m AS (SELECT 'episode_' || (user_id % 4) AS episode, '/' || event_type AS topic, event_id, epoch_us(ts) * 1000 AS t, props FROM events)
+ SELECT episode, topic, row_number() OVER (PARTITION BY episode ORDER BY event_id) - 1 AS record_index, row_number() OVER (PARTITION BY episode, topic ORDER BY event_id) - 1 AS topic_index,
+ event_id AS sequence, t + event_id % 7 AS log_time_ns, t AS publish_time_ns, props AS body FROM m""",
+)
+def recording_roundtrip(spark, folder):
+    """Events written as recordings (several files per episode) and read back."""
+    from telemark.plans.tables import messages
+    from telemark.sources import mcap, mcap_sink
+    from telemark.sources.durable import scratch
+
+    raw = read(spark, folder, "events").select("event_id", "props")
+    rows = messages(spark, folder).join(raw, F.col("record_index") == F.col("event_id")).select(
+        F.concat(F.lit("episode_"), (F.col("user_id") % 4).cast("string")).alias("episode"),
+        F.col("record_index").alias("position"),
+        F.concat(F.lit("/"), F.col("topic")).alias("topic"),
+        F.lit("event").alias("schema_name"),
+        F.lit("jsonschema").alias("schema_encoding"),
+        F.encode(F.lit('{"type":"object"}'), "utf-8").alias("schema_data"),
+        F.lit("json").alias("message_encoding"),
+        F.create_map(F.lit("source"), F.lit("events")).alias("channel_metadata"),
+        F.col("record_index").alias("sequence"),
+        (F.col("pub_ns") + F.col("record_index") % 7).alias("log_time_ns"),
+        F.col("pub_ns").alias("publish_time_ns"),
+        F.encode("props", "utf-8").alias("data"),
+    )
+    target = scratch(spark, "recordings")
+    mcap_sink.write_recordings(rows, target, chunk_bytes=64 << 10, file_rows=4096)
+    back = mcap.messages(mcap.scan(spark, target, split_bytes=128 << 10))
+    full = mcap.fetch(back, "source_file", "cdr_file_offset", "cdr_size")
+    return full.withColumn("body", F.decode("data", "utf-8")).select("episode", *_WIRE)
+
+
+@query(
+    "structural_audit",
+    """WITH m AS (SELECT label AS episode, 'joints' AS topic, vec_id, vec_id % 97 = 3 AS undecodable, vec_id % 89 = 50 AS renamed, vec_id % 83 = 7 AS no_header, vec_id % 79 = 9 AS broken FROM embeddings),
+ c AS (SELECT episode, topic, count(*) AS sample_count, count(*) FILTER (undecodable) AS undecodable, count(*) FILTER (renamed) AS name_order_changes,
+ count(*) FILTER (no_header) AS missing_headers, count(*) FILTER (broken AND NOT undecodable) AS nonfinite_values FROM m GROUP BY ALL)
+ SELECT *, CASE WHEN undecodable + name_order_changes + missing_headers + nonfinite_values > 0 OR sample_count < 3 THEN 'invalid' ELSE 'valid' END AS structural_status FROM c""",
+)
+def structural_audit(spark, folder):
+    """Joint messages with undecodable, renamed, unstamped and non-finite samples."""
+    from telemark.operators import motion
+    from telemark.plans.tables import joint_frames
+
+    names = [f"arm_l_j{i}" for i in range(1, 8)]
+    key = F.col("vec_id")
+    plain = F.slice("vector", 1, 7)
+    values = F.when(key % 79 == 9, F.transform(plain, lambda x, i: F.when(i == 0, float("inf")).otherwise(x))).otherwise(plain)
+    rows = joint_frames(spark, folder).rows().select(
+        "episode",
+        F.lit("joints").alias("topic"),
+        F.col("frame").alias("topic_index"),
+        F.when(key % 89 == 50, F.reverse(F.array(*map(F.lit, names)))).otherwise(F.array(*map(F.lit, names))).alias("names"),
+        F.when(key % 97 != 3, values).alias("values"),
+        F.when(key % 83 != 7, F.col("time_ns")).alias("header_time_ns"),
+    )
+    audit = motion.structural_audit(rows, ["episode", "topic"], {"joints": names})
+    return audit.select(
+        "episode", "topic", "sample_count", "undecodable", "name_order_changes", "missing_headers",
+        F.coalesce("nonfinite_values", F.lit(0)).alias("nonfinite_values"), "structural_status",
+    )
+
+
+@query(
+    "value_histogram",
+    """WITH e AS (SELECT event_type AS topic, min(value) AS lo, (max(value) - min(value)) / 60 AS w FROM events GROUP BY event_type),
+ b AS (SELECT topic, least(floor((value - lo) / w), 59)::BIGINT AS bin, lo, w FROM events JOIN e ON topic = event_type)
+ SELECT topic, bin, round(min(lo + bin * w), 6) AS bin_start, count(*) AS rows FROM b GROUP BY topic, bin""",
+)
+def value_histogram(spark, folder):
+    from telemark.sources.reports import histogram
+
+    rows = read(spark, folder, "events").withColumnRenamed("event_type", "topic")
+    return settle(histogram(rows, ["topic"], F.col("value")))
+
+
+_BYTES_SQL = """WITH s AS (SELECT vec_id, p, c, greatest(0, least(255, round_even((embedding[p * 3 + c + 1]::DOUBLE * 1.2::DOUBLE + 0.8::DOUBLE) * 255, 0)))::INT AS code FROM embeddings, generate_series(0, 20) g(p), generate_series(0, 2) h(c)),
+ y AS (SELECT vec_id, p, c, code, CASE WHEN code / 255.0::DOUBLE <= 0.04045::DOUBLE THEN code / 255.0::DOUBLE / 12.92::DOUBLE ELSE pow((code / 255.0::DOUBLE + 0.055::DOUBLE) / 1.055::DOUBLE, 2.4::DOUBLE) END AS lin FROM s),
+ px AS (SELECT vec_id, p, sum(CASE c WHEN 0 THEN 0.0722::DOUBLE WHEN 1 THEN 0.7152::DOUBLE ELSE 0.2126::DOUBLE END * lin) AS light,
+ round_even(sum(CASE c WHEN 0 THEN 0.114::DOUBLE WHEN 1 THEN 0.587::DOUBLE ELSE 0.299::DOUBLE END * code), 0) AS gray FROM y GROUP BY ALL)"""
+
+
+def _decoded(spark, folder):
+    """Pictures of 3 x 7 pixels, as blue-green-red bytes made of each vector."""
+    code = F.transform(
+        F.slice(F.col("embedding").cast("array<double>"), 1, 63),
+        lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.rint((x * 1.2 + 0.8) * 255).cast("int"))),
+    )
+    data = F.unhex(F.array_join(F.transform(code, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    shape = [F.lit(3).alias("height"), F.lit(7).alias("width"), F.lit(3).alias("nChannels")]
+    return read(spark, folder, "embeddings").select("vec_id", F.struct(*shape, data.alias("data")).alias("image"))
+
+
+@query(
+    "picture_luminance",
+    f"""{_BYTES_SQL} SELECT vec_id, round(quantile_cont(light, 0.5), 3) AS l50, round(quantile_cont(light, 0.95), 3) AS l95, round(count(*) FILTER (light > 0.98) / count(*)::DOUBLE, 3) AS highlight_clipping_ratio FROM px GROUP BY vec_id""",
+)
+def picture_luminance(spark, folder):
+    return settle(exposure.image_luminance_metrics(_decoded(spark, folder), "image", EXPOSURE).drop("image"), 3)
+
+
+@query(
+    "picture_samples",
+    f"""{_BYTES_SQL} SELECT vec_id, round(avg(gray), 4) AS brightness_mean, round(count(*) FILTER (gray < 10) / count(*)::DOUBLE, 4) AS dark_pixel_ratio, round(count(*) FILTER (gray > 245) / count(*)::DOUBLE, 4) AS bright_pixel_ratio FROM px GROUP BY vec_id""",
+)
+def picture_samples(spark, folder):
+    return settle(images.sample_metrics(_decoded(spark, folder)).drop("image", "laplacian_variance"), 4)

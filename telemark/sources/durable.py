@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -19,3 +20,9 @@ def durable(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="telemark-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name next to the checkpoints, for files a later step reads again."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="telemark-scratch-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
