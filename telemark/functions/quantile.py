@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from telemark.functions.sequence import fits_one_task, track
+from telemark.functions.sequence import fits_one_task, segment_rows, track
 from telemark.sources.durable import durable
 
 
@@ -19,21 +19,27 @@ def summarise(
     quantiles: Mapping[str, tuple[Column, Mapping[str, float]]] | None = None,
     *,
     bound: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """``groupBy(keys)`` with plain aggregates and exact percentiles.
 
     ``quantiles`` maps a value name to its column and ``{output: fraction}``.
     Null values are ignored.  The built-in ``percentile`` keeps all distinct
     values of a group in one task, so it is used only where every group is known
-    to be small; larger groups go through :func:`select_ranks`.
+    to be small; larger groups go through :func:`select_ranks`.  The size is taken
+    from ``largest`` if given, from ``bound`` if that is small, and counted else.
     """
     quantiles = dict(quantiles or {})
     if not quantiles:
         return df.groupBy(*keys).agg(*aggregates)
     if not keys:
         whole = df.withColumn("_all", F.lit(0))
-        return summarise(whole, ["_all"], aggregates, quantiles, bound=bound).drop("_all")
-    if fits_one_task(df, keys, bound):
+        return summarise(whole, ["_all"], aggregates, quantiles, bound=bound, largest=largest).drop("_all")
+    if largest is not None:
+        small = largest <= segment_rows(df.sparkSession)
+    else:
+        small = fits_one_task(df, keys, bound)
+    if small:
         arrays = [
             F.percentile(value.cast("double"), F.array(*[F.lit(float(q)) for q in wanted.values()])).alias(f"_q_{name}")
             for name, (value, wanted) in quantiles.items()

@@ -63,6 +63,7 @@ class Track:
     order: tuple[str, ...]
     segments: tuple[str, ...] = ()
     looked: bool = False
+    largest: int | None = None  # rows of the largest group, or a proven bound
 
     @property
     def window(self) -> WindowSpec:
@@ -89,9 +90,11 @@ def track(
 ) -> Track:
     """Lay out ``df`` as a track; ``bound`` is a known upper limit of a group's size."""
     keys, order = tuple(keys), tuple(order)
-    if fits_one_task(df, keys, bound):
-        return Track(df, keys, order)
-    return _cut(df, keys, order, segment_rows(df.sparkSession))
+    limit = segment_rows(df.sparkSession)
+    largest = bound if bound is not None and bound <= limit else largest_group(df, keys)
+    if largest <= limit:
+        return Track(df, keys, order, largest=largest)
+    return replace(_cut(df, keys, order, limit), largest=largest)
 
 
 def _slot(value: Column, low: Column, high: Column, parts: Column, integral: bool) -> Column:
@@ -161,20 +164,12 @@ def carry(
     """
     prev, prev2, next = dict(prev or {}), dict(prev2 or {}), dict(next or {})
     last, first, running = dict(last or {}), dict(first or {}), dict(running or {})
-    if prev2 and source.segments:
-        hop = {f"_hop_{name}": value for name, value in prev2.items()}
-        source = carry(source, prev=hop)
-        source = carry(source, prev={name: F.col(f"_hop_{name}") for name in prev2})
-        source = replace(source, df=source.df.drop(*hop))
-        prev2 = {}
-        if not (prev or next or last or first or running or number):
-            return source
     if source.segments:
         if source.looked:
             # Rows and summary both read their input; without a cut, a chain of
             # looks would sort the same data twice as often with every link.
             source = replace(source, df=durable(source.df))
-        source, reach = _with_summary(source, prev, next, last, first, running, number)
+        source, reach = _with_summary(source, prev, prev2, next, last, first, running, number)
     else:
         reach = {}
 
@@ -187,7 +182,11 @@ def carry(
         inside = F.lag(value).over(window)
         added[name] = _edge(F.lag(anchor).over(window), inside, reach.get(name))
     for name, value in prev2.items():
-        added[name] = F.lag(value, 2).over(window)
+        inside = F.lag(value, 2).over(window)
+        if name in reach:
+            second = F.when(F.lag(anchor).over(window).isNull(), reach[name]).otherwise(F.col(f"_in_{name}_1"))
+            inside = F.when(F.lag(anchor, 2).over(window).isNull(), second).otherwise(inside)
+        added[name] = inside
     for name, value in next.items():
         inside = F.lead(value).over(window)
         added[name] = _edge(F.lead(anchor).over(window), inside, reach.get(name))
@@ -204,7 +203,7 @@ def carry(
     if number:
         inside = (F.row_number().over(window) - 1).cast("bigint")
         added[number] = inside + reach[number] if number in reach else inside
-    df = source.df.withColumns(added).drop(*[f"_in_{name}" for name in reach])
+    df = source.df.withColumns(added).drop(*[f"_in_{name}" for name in reach], *[f"_in_{name}_1" for name in prev2])
     return replace(source, df=df, looked=True)
 
 
@@ -212,10 +211,17 @@ def _edge(neighbour: Column, inside: Column, outside: Column | None) -> Column:
     return inside if outside is None else F.when(neighbour.isNull(), outside).otherwise(inside)
 
 
-def _with_summary(source, prev, next, last, first, running, number):
+def _with_summary(source, prev, prev2, next, last, first, running, number):
     """Join each segment with what it needs from the segments around it."""
     at = source.position
     totals: list[Column] = []
+    if prev2:
+        # The last two rows of a segment: the last one also knows the one before.
+        source = source.derive({f"_hop_{name}": F.lag(value).over(source.window) for name, value in prev2.items()})
+        totals.append(F.count("*").alias("_rows"))
+        for name, value in prev2.items():
+            totals.append(F.max_by(value, at).alias(f"_in_{name}_1"))
+            totals.append(F.max_by(F.col(f"_hop_{name}"), at).alias(f"_in_{name}"))
     for name, value in {**prev}.items():
         totals.append(F.max_by(value, at).alias(f"_in_{name}"))
     for name, value in next.items():
@@ -236,6 +242,11 @@ def _with_summary(source, prev, next, last, first, running, number):
     shifted: dict[str, Column] = {}
     for name in prev:
         shifted[name] = F.lag(f"_in_{name}").over(ahead)
+    for name in prev2:
+        nearest = F.col(f"_in_{name}_1")
+        two = F.lag("_rows").over(ahead) >= 2
+        shifted[name] = F.when(two, F.lag(f"_in_{name}").over(ahead)).otherwise(F.lag(nearest, 2).over(ahead))
+        shifted[f"{name}_1"] = F.lag(nearest).over(ahead)
     for name in next:
         shifted[name] = F.lead(f"_in_{name}").over(ahead)
     for name in last:
@@ -247,7 +258,7 @@ def _with_summary(source, prev, next, last, first, running, number):
         shifted[name] = F.coalesce(total, F.lit(0))
     summary = source.df.groupBy(*place).agg(*totals)
     summary = summary.select(*place, *[value.alias(f"_in_{name}") for name, value in shifted.items()])
-    joined = source.df.join(summary, place)
+    joined = source.df.drop(*[f"_hop_{name}" for name in prev2]).join(summary, place)
     return replace(source, df=joined), {name: F.col(f"_in_{name}") for name in shifted}
 
 

@@ -143,13 +143,17 @@ def align_to_grid(
     """
     episode = list(episode)
     names = list(payload)
-    this = F.struct(F.col(time).alias("_t"), *[value.alias(name) for name, value in payload.items()])
+    named = {"_t": F.col(time), **payload}
+    this = F.struct(*[value.alias(name) for name, value in named.items()])
+    # Plain columns are looked up one by one: cheaper to summarise than a struct.
     paired = carry(
         stream,
-        prev={"_p": this},
+        prev={f"_p_{name}": value for name, value in named.items()},
         prev2={"_pp": F.col(time)},
         next={"_n": F.col(time)},
-    ).derive({"_c": this})
+    )
+    before_this = F.struct(*[F.col(f"_p_{name}").alias(name) for name in named])
+    paired = paired.derive({"_c": this, "_p": F.when(F.col("_p__t").isNotNull(), before_this)})
     pairs = paired.df.select(*stream.keys, "_p", "_pp", "_n", "_c").join(
         spans.select(*episode, "start_ns", "period_ns", "target_count"), episode
     )

@@ -373,7 +373,7 @@ def audit_joints(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def audit_gaps(
-    stream: Track, time: str, index: str, floor_ms: Column, config: TimestampQuality | None = None, *, bound: int | None = None
+    stream: Track, time: str, index: str, floor_ms: Column, config: TimestampQuality | None = None
 ) -> DataFrame:
     """Clock part of the audit: median step, gap limits with a floor, counts."""
     config = config or TimestampQuality()
@@ -391,7 +391,7 @@ def audit_gaps(
             F.first("_floor").alias("_floor"),
         ],
         {"dt": (F.col("dt_ms"), {"median_dt_ms": 0.5, "p95_dt_ms": 0.95})},
-        bound=bound,
+        largest=stream.largest,
     )
     limits = first.withColumns(
         {
@@ -399,12 +399,12 @@ def audit_gaps(
             "gap_fail_ms": F.greatest(F.col("_floor"), F.col("median_dt_ms") * config.gap_fail_factor),
         }
     ).drop("_floor")
-    side = limits.select(*stream.keys, "gap_warning_ms", "gap_fail_ms")
-    gaps = dt.join(side, list(stream.keys)).groupBy(*stream.keys).agg(
+    held = [F.first(c).alias(c) for c in limits.columns if c not in stream.keys]
+    return dt.select(*stream.keys, "dt_ms").join(limits, list(stream.keys)).groupBy(*stream.keys).agg(
+        *held,
         F.count_if(F.col("dt_ms") > F.col("gap_warning_ms")).alias("gap_count"),
         F.count_if(F.col("dt_ms") > F.col("gap_fail_ms")).alias("severe_gap_count"),
     )
-    return limits.join(gaps, list(stream.keys))
 
 
 def audit_summary(flagged: DataFrame, clock: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -52,14 +52,14 @@ def distribution(value: Column, name: str, prefix: str = "") -> tuple[list[Colum
     return plain, {name: (value, {f"{prefix}{q}": fraction for q, fraction in _SPREAD.items()})}
 
 
-def timestamp_metrics(stream: Track, time: str, *, bound: int | None = None) -> DataFrame:
+def timestamp_metrics(stream: Track, time: str) -> DataFrame:
     """Count, duration, rate and the full step distribution per stream."""
     plain, wanted = distribution(F.col("dt_ms"), "dt_ms", "dt_")
     plain = [*_ends(stream, time), *plain, F.count_if(F.col("dt_ms") <= 0).alias("nonpositive")]
-    return _rate(summarise(steps(stream, time).df, stream.keys, plain, wanted, bound=bound))
+    return _rate(summarise(steps(stream, time).df, stream.keys, plain, wanted, largest=stream.largest))
 
 
-def series_stats(stream: Track, time: str, *, guarded: bool = False, bound: int | None = None) -> DataFrame:
+def series_stats(stream: Track, time: str, *, guarded: bool = False) -> DataFrame:
     """The short form: rate, median, p95 and largest step."""
     plain = [
         *_ends(stream, time),
@@ -67,7 +67,7 @@ def series_stats(stream: Track, time: str, *, guarded: bool = False, bound: int
         F.count_if(F.col("dt_ms") <= 0).alias("nonpositive"),
     ]
     wanted = {"dt_ms": (F.col("dt_ms"), {f"dt_{q}": fraction for q, fraction in _BASIC.items()})}
-    return _rate(summarise(steps(stream, time).df, stream.keys, plain, wanted, bound=bound), guarded)
+    return _rate(summarise(steps(stream, time).df, stream.keys, plain, wanted, largest=stream.largest), guarded)
 
 
 def period_label(dt_ms: Column, multiple: Column, epsilon_ms: float) -> Column:
@@ -83,64 +83,63 @@ def gap_severity(dt_ms: Column, warning_ms: Column, fail_ms: Column) -> Column:
     return F.when(dt_ms > fail_ms, "fail").when(dt_ms > warning_ms, "warning").otherwise("info")
 
 
-def _paced(stream: Track, time: str, config: TimestampQuality, bound: int | None):
+def _paced(stream: Track, time: str, config: TimestampQuality) -> DataFrame:
     """Steps joined with their stream's nominal period and gap limits."""
     edges = steps(stream, time).df.filter(F.col("dt_ms").isNotNull())
     regular = F.when(F.col("dt_ms") > config.duplicate_epsilon_ms, F.col("dt_ms"))
-    nominal = summarise(edges, stream.keys, [], {"dt": (regular, {"nominal_period_ms": 0.5})}, bound=bound)
-    nominal = nominal.withColumns(
-        {
-            "gap_warning_ms": F.col("nominal_period_ms") * config.gap_warning_factor,
-            "gap_fail_ms": F.col("nominal_period_ms") * config.gap_fail_factor,
-        }
-    )
+    nominal = summarise(edges, stream.keys, [], {"dt": (regular, {"nominal_period_ms": 0.5})}, largest=stream.largest)
+    nominal = _gap_limits(nominal, config)
     multiple = F.coalesce(F.col("dt_ms") / F.col("nominal_period_ms"), F.lit(0.0))
     return edges.join(nominal, list(stream.keys)).withColumn("period_multiple", multiple)
 
 
-def gap_statistics(
-    stream: Track, time: str, config: TimestampQuality | None = None, *, bound: int | None = None
-) -> DataFrame:
+def gap_statistics(stream: Track, time: str, config: TimestampQuality | None = None) -> DataFrame:
     """Step distribution, nominal period, gap limits and threshold counts per stream."""
     config = config or TimestampQuality()
     epsilon, dt = config.duplicate_epsilon_ms, F.col("dt_ms")
     plain, wanted = distribution(dt, "dt_ms", "dt_")
-    ends = stream.df.groupBy(*stream.keys).agg(*_ends(stream, time))
-    counts = summarise(
-        _paced(stream, time, config, bound),
-        stream.keys,
-        [
-            *[F.first(name).alias(name) for name in ("nominal_period_ms", "gap_warning_ms", "gap_fail_ms")],
-            *plain,
-            F.count_if(dt < -epsilon).alias("negative_count"),
-            F.count_if(dt <= epsilon).alias("nonpositive_count"),
-            F.count_if(F.abs(dt) <= epsilon).alias("duplicate_count"),
-            F.count_if(dt > F.col("gap_warning_ms")).alias("warning_gap_count"),
-            F.count_if(dt > F.col("gap_fail_ms")).alias("fail_gap_count"),
-        ],
-        wanted,
-        bound=bound,
+    stepped = steps(stream, time).df
+    counts = [
+        F.count_if(dt < -epsilon).alias("negative_count"),
+        F.count_if(dt <= epsilon).alias("nonpositive_count"),
+        F.count_if(F.abs(dt) <= epsilon).alias("duplicate_count"),
+    ]
+    regular = {"regular": (F.when(dt > epsilon, dt), {"nominal_period_ms": 0.5})}
+    first_look = summarise(
+        stepped, stream.keys, [*_ends(stream, time), *plain, *counts], {**wanted, **regular}, largest=stream.largest
+    )
+    limited = _gap_limits(first_look, config)
+    # The small table rides along, so its percentiles are computed once.
+    held = [F.first(c).alias(c) for c in limited.columns if c not in stream.keys]
+    judged = stepped.select(*stream.keys, "dt_ms").join(limited, list(stream.keys)).groupBy(*stream.keys)
+    over = [
+        F.count_if(dt > F.col("gap_warning_ms")).alias("warning_gap_count"),
+        F.count_if(dt > F.col("gap_fail_ms")).alias("fail_gap_count"),
+    ]
+    return _rate(judged.agg(*held, *over))
+
+
+def _gap_limits(nominal: DataFrame, config: TimestampQuality) -> DataFrame:
+    return nominal.withColumns(
+        {
+            "gap_warning_ms": F.col("nominal_period_ms") * config.gap_warning_factor,
+            "gap_fail_ms": F.col("nominal_period_ms") * config.gap_fail_factor,
+        }
     )
-    zero = {n: 0 for n in counts.columns if n.endswith("_count")}
-    return _rate(ends.join(counts, list(stream.keys), "left")).fillna(zero)
 
 
-def period_multiples(
-    stream: Track, time: str, config: TimestampQuality | None = None, *, bound: int | None = None
-) -> DataFrame:
+def period_multiples(stream: Track, time: str, config: TimestampQuality | None = None) -> DataFrame:
     """How many steps fall on each multiple of the nominal period."""
     config = config or TimestampQuality()
     label = period_label(F.col("dt_ms"), F.col("period_multiple"), config.duplicate_epsilon_ms)
-    paced = _paced(stream, time, config, bound).withColumn("period_bucket", label)
+    paced = _paced(stream, time, config).withColumn("period_bucket", label)
     return paced.groupBy(*stream.keys, "period_bucket").agg(F.count("*").alias("steps"))
 
 
-def gap_events(
-    stream: Track, time: str, index: str, config: TimestampQuality | None = None, *, bound: int | None = None
-) -> DataFrame:
+def gap_events(stream: Track, time: str, index: str, config: TimestampQuality | None = None) -> DataFrame:
     """Every step longer than 1.5 nominal periods, with its severity."""
     config = config or TimestampQuality()
-    paced = _paced(stream, time, config, bound).filter(F.col("dt_ms") > 1.5 * F.col("nominal_period_ms"))
+    paced = _paced(stream, time, config).filter(F.col("dt_ms") > 1.5 * F.col("nominal_period_ms"))
     return paced.select(
         *stream.keys,
         (F.col(index) - 1).alias("edge_after_source_index"),

@@ -251,7 +251,7 @@ r AS (SELECT topic, 'numeric_timestamp_nonpositive' AS risk_id, 'fail' AS status
 def _clock_risks(spark, folder):
     from telemark.operators.timeline import series_stats
 
-    clock = series_stats(stream(spark, folder, numbered=False), "time_ns", bound=row_count(spark, folder, "events"))
+    clock = series_stats(stream(spark, folder, numbered=False), "time_ns")
     metrics = clock.withColumns({"nan_count": F.lit(0), "inf_count": F.lit(0)})
     return quality.apply_rules(metrics, ["topic"], quality.numeric_rules(F.lit(7_200_000.0)), F.col("topic"))
 
@@ -270,7 +270,7 @@ def clock_risks(spark, folder):
 def camera_risks(spark, folder):
     from telemark.operators.timeline import series_stats
 
-    clock = series_stats(stream(spark, folder, numbered=False), "time_ns", bound=row_count(spark, folder, "events"))
+    clock = series_stats(stream(spark, folder, numbered=False), "time_ns")
     metrics = clock.withColumns({"decode_failures": F.lit(0), "shapes": F.lit(1)})
     rules = quality.camera_rules(7_200_000.0, F.col("topic") == "click")
     return quality.apply_rules(metrics, ["topic"], rules, F.col("topic")).select("topic", "risk_id", "status", "severity")

@@ -169,8 +169,8 @@ def audit_events(spark, folder):
  SELECT *, CASE WHEN jump_count > 0 OR acceleration_over_count > 0 OR spike_count > 0 THEN 'review' WHEN velocity_near_count > 0 OR acceleration_near_count > 0 THEN 'warning' ELSE 'clean_under_checked_thresholds' END AS status FROM ck""",
 )
 def audit_status(spark, folder):
-    frames, bound = joint_frames(spark, folder), _bound(spark, folder)
-    clock = motion.audit_gaps(frames.derive({"ns": F.col("time_ns").cast("bigint")}), "ns", "frame", F.lit(120.0), bound=bound)
+    frames = joint_frames(spark, folder)
+    clock = motion.audit_gaps(frames.derive({"ns": F.col("time_ns").cast("bigint")}), "ns", "frame", F.lit(120.0))
     return settle(motion.audit_summary(flagged(spark, folder), clock, ["episode"]))
 
 

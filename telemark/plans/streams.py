@@ -128,7 +128,7 @@ _RATE_SQL = """count(*) AS count, (max_by(time_ns, record_index) - min_by(time_n
  count(*) FILTER (dt_ms <= 0) AS nonpositive FROM edges GROUP BY topic""",
 )
 def timestamp_metrics(spark, folder):
-    return settle(timeline.timestamp_metrics(stream(spark, folder, numbered=False), "time_ns", bound=_bound(spark, folder)))
+    return settle(timeline.timestamp_metrics(stream(spark, folder, numbered=False), "time_ns"))
 
 
 @query(
@@ -138,7 +138,7 @@ def timestamp_metrics(spark, folder):
  FROM edges GROUP BY topic""",
 )
 def series_stats(spark, folder):
-    return settle(timeline.series_stats(stream(spark, folder, numbered=False), "time_ns", bound=_bound(spark, folder)))
+    return settle(timeline.series_stats(stream(spark, folder, numbered=False), "time_ns"))
 
 
 # Sorting by time first turns backward steps into positive ones: only duplicates stay.
@@ -151,7 +151,7 @@ def series_stats(spark, folder):
  FROM so GROUP BY topic""",
 )
 def sorted_series_stats(spark, folder):
-    return settle(timeline.series_stats(sorted_stream(spark, folder), "time_ns", bound=_bound(spark, folder)))
+    return settle(timeline.series_stats(sorted_stream(spark, folder), "time_ns"))
 
 
 def sorted_stream(spark, folder) -> Track:
@@ -176,7 +176,7 @@ paced AS (SELECT e.*, nominal, dt_ms / nominal AS multiple FROM edges e JOIN pac
  SELECT * FROM ends JOIN counted USING (topic)""",
 )
 def gap_statistics(spark, folder):
-    return settle(timeline.gap_statistics(stream(spark, folder, numbered=False), "time_ns", bound=_bound(spark, folder)))
+    return settle(timeline.gap_statistics(stream(spark, folder, numbered=False), "time_ns"))
 
 
 @query(
@@ -186,7 +186,7 @@ def gap_statistics(spark, folder):
  count(*) AS steps FROM paced GROUP BY ALL""",
 )
 def period_multiples(spark, folder):
-    return timeline.period_multiples(stream(spark, folder, numbered=False), "time_ns", bound=_bound(spark, folder))
+    return timeline.period_multiples(stream(spark, folder, numbered=False), "time_ns")
 
 
 @query(
@@ -196,7 +196,7 @@ def period_multiples(spark, folder):
  FROM paced WHERE dt_ms > 1.5 * nominal""",
 )
 def gap_events(spark, folder):
-    return settle(timeline.gap_events(stream(spark, folder), "time_ns", "topic_index", bound=_bound(spark, folder)))
+    return settle(timeline.gap_events(stream(spark, folder), "time_ns", "topic_index"))
 
 
 @query(
@@ -210,7 +210,7 @@ def gap_events(spark, folder):
 )
 def gap_events_both_timelines(spark, folder):
     parts = [
-        timeline.gap_events(stream(spark, folder, column), "time_ns", "topic_index", bound=_bound(spark, folder)).withColumn("timeline", F.lit(name))
+        timeline.gap_events(stream(spark, folder, column), "time_ns", "topic_index").withColumn("timeline", F.lit(name))
         for name, column in (("original", None), ("cleaned", "pub_ns"))
     ]
     return settle(parts[0].unionByName(parts[1]))
@@ -229,7 +229,7 @@ def gap_events_both_timelines(spark, folder):
 )
 def audit_gaps_query(spark, folder):
     floor = F.when(F.col("topic") == "view", 600_000.0).otherwise(1_800_000.0)
-    return settle(audit_gaps(stream(spark, folder, "pub_ns"), "time_ns", "topic_index", floor, bound=_bound(spark, folder)))
+    return settle(audit_gaps(stream(spark, folder, "pub_ns"), "time_ns", "topic_index", floor))
 
 
 # --- camera steps ---
@@ -626,7 +626,7 @@ _FIT_SQL = _fit_sql()
 
 @query("nominal_period", f"{_FIT_SQL} SELECT topic, origin_ns, frames, period_ns FROM nom")
 def nominal_period(spark, folder):
-    return repair.nominal_period(camera(spark, folder), "header_ns", _ROBUST, bound=_bound(spark, folder))
+    return repair.nominal_period(camera(spark, folder), "header_ns", _ROBUST)
 
 
 @query(
@@ -635,15 +635,15 @@ def nominal_period(spark, folder):
  round(first(fitted), 3) AS fitted_period_ns FROM pred GROUP BY topic""",
 )
 def robust_fit(spark, folder):
-    line, bound = camera(spark, folder), _bound(spark, folder)
-    fit = repair.robust_fit(line, "fr", "header_ns", repair.nominal_period(line, "header_ns", _ROBUST, bound=bound), _ROBUST, bound=bound)
+    line = camera(spark, folder)
+    fit = repair.robust_fit(line, "fr", "header_ns", repair.nominal_period(line, "header_ns", _ROBUST), _ROBUST)
     return settle(
         fit.select("topic", "period_ns", "anchor_count", F.round("anchor_ratio", 6).alias("anchor_ratio"), F.round("fitted_period_ns", 3).alias("fitted_period_ns"))
     )
 
 
 def _marked(spark, folder):
-    return repair.marked_frames(camera(spark, folder), "fr", "header_ns", _ROBUST, bound=_bound(spark, folder))
+    return repair.marked_frames(camera(spark, folder), "fr", "header_ns", _ROBUST)
 
 
 @query("invalid_frames", f"{_FIT_SQL} SELECT topic, fr, invalid, round(res / 1000, 0) AS residual_us FROM inv")
@@ -666,7 +666,7 @@ def repair_runs(spark, folder):
  round(correction_ns / 1e6, 6) AS correction_ms, round(periods, 6) AS correction_periods FROM done""",
 )
 def timestamp_repair(spark, folder):
-    repaired = repair.repair_timestamps(camera(spark, folder), "fr", "header_ns", _ROBUST, bound=_bound(spark, folder))
+    repaired = repair.repair_timestamps(camera(spark, folder), "fr", "header_ns", _ROBUST)
     return settle(
         repaired.rows().select(
             "topic", "fr", "header_ns", "corrected_ns", "repair_method", "risk", "correction_ms", "correction_periods"
@@ -684,7 +684,7 @@ def timestamp_repair(spark, folder):
 )
 def repair_diagnostics(spark, folder):
     bound = _bound(spark, folder)
-    repaired = repair.repair_timestamps(camera(spark, folder), "fr", "header_ns", _ROBUST, bound=bound)
+    repaired = repair.repair_timestamps(camera(spark, folder), "fr", "header_ns", _ROBUST)
     return settle(repair.repair_diagnostics(repaired.df, ["topic"], bound=bound), 3)
 
 
@@ -730,7 +730,7 @@ def affine_repair(spark, folder):
 )
 def patch_plan(spark, folder):
     """The frames whose header a writer has to rewrite."""
-    repaired = repair.repair_timestamps(camera(spark, folder), "fr", "header_ns", _ROBUST, bound=_bound(spark, folder)).rows()
+    repaired = repair.repair_timestamps(camera(spark, folder), "fr", "header_ns", _ROBUST).rows()
     changed = repaired.filter(F.col("correction_ns") != 0)
     return changed.select("topic", "record_index", F.round(F.col("corrected_ns") / 1000.0, 0).alias("corrected_us"))
 

@@ -8,21 +8,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a session without one (a local test) gets its own."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="telemark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in shared storage, for files a later step reads again."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back.
+    """Write ``df`` as a table in shared storage and go on from there.
 
-    The folder comes from ``spark.checkpoint.dir``; only a session without that
-    setting (a local test) gets a folder of its own.
+    The table outlives lost executors, and later steps read only the columns they
+    need, which a checkpoint of whole rows would not allow.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="telemark-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name next to the checkpoints, for files a later step reads again."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="telemark-scratch-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
