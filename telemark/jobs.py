@@ -24,7 +24,7 @@ from telemark.config import (
 from telemark.functions.scalar import columns_with_prefix, to_ms, topic_category
 from telemark.functions.sequence import track
 from telemark.operators import conversion, exposure, images, motion, quality, repair, resample, spikes, timeline
-from telemark.sources import dataset, mcap, mcap_sink, reports
+from telemark.sources import cameras, dataset, mcap, mcap_sink, reports
 from telemark.sources.durable import durable
 from telemark.sources.episodes import missing_topics
 
@@ -433,16 +433,87 @@ def inspect_exposure(
     """Exposure of decoded frames (Spark image struct in ``image``), per camera."""
     config = (operators or OperatorConfig()).exposure
     measured = durable(exposure.image_luminance_metrics(frames, "image", config).drop("image"))
+    return _judged_exposure(measured, keys, frame, operators)
+
+
+def _judged_exposure(measured: DataFrame, keys: Sequence[str], frame: str, operators: OperatorConfig | None) -> dict[str, DataFrame]:
+    config = (operators or OperatorConfig()).exposure
     line = track(measured, list(keys), [frame]).derive(exposure.candidate_flags(config))
     confirmed = exposure.confirmed_frames(line, frame, config)
+    origin = [c for c in ("timestamp_s", "header_time_ns", "log_time_ns") if c in measured.columns]
     return {
         "frames": confirmed,
-        "segments": exposure.exposure_segments(confirmed, list(keys), frame),
+        "segments": exposure.exposure_segments(confirmed, list(keys), frame, origin),
         "cameras": exposure.exposure_summary(confirmed, list(keys)),
         "status": exposure.exposure_status(confirmed, [keys[0]]),
     }
 
 
+def inspect_cameras(
+    spark: SparkSession,
+    source: str,
+    decode,
+    operators: OperatorConfig | None = None,
+    *,
+    episodes: Sequence[str] = (),
+    max_frames: int | None = None,
+) -> dict[str, DataFrame]:
+    """Exposure of raw recordings, camera by camera.
+
+    ``decode`` reads one encoded picture.  Pictures it cannot read are listed in
+    ``failures``; the episodes around them are still judged.
+    """
+    rows = mcap.messages(mcap.scan(spark, source, topics=contract.IMAGE_TOPICS, episodes=episodes))
+    shots = durable(cameras.camera_frames(rows, max_frames=max_frames))
+    _stop_if_any(missing_topics(shots.withColumn("topic", F.col("camera")), ["episode"], contract.IMAGE_TOPICS), "missing cameras")
+    pixels = cameras.decoded(shots, decode)
+    measured = durable(exposure.image_luminance_metrics(pixels.filter(F.col("image").isNotNull()), "image", (operators or OperatorConfig()).exposure).drop("image", "decode_error"))
+    read = measured.select("episode", "camera", "frame_index")
+    failures = shots.join(read, ["episode", "camera", "frame_index"], "left_anti").select("episode", "camera", "frame_index", "source_file")
+    return {**_judged_exposure(measured, ["episode", "camera"], "frame_index", operators), "failures": failures}
+
+
+def jump_evidence(
+    spark: SparkSession,
+    source: str,
+    config: SpikeRepair | None = None,
+    *,
+    topic: str = contract.LEADER_JOINTS,
+    joints: int = contract.ARM_JOINTS,
+    prefix: str = "arm_",
+    normal_window_s: float = 3.0,
+    abnormal_window_s: float = 1.4,
+) -> dict[str, DataFrame]:
+    """Per episode: all jumps, the strongest one, a window around it, a clean
+    reference window, the samples of both, and the head pictures closest to them."""
+    config = config or SpikeRepair()
+    rows = durable(mcap.messages(mcap.scan(spark, source, topics=[topic, contract.HEAD_CAMERA])))
+    states = rows.filter(F.col("topic") == topic).withColumn("arm", columns_with_prefix(prefix))
+    origin = states.groupBy("episode").agg(F.min_by("header_time_ns", "topic_index").alias("_origin"))
+    timed = states.join(origin, "episode").withColumn("time_s", (F.col("header_time_ns") - F.col("_origin")) / F.lit(1e9))
+    line = track(timed.select("episode", "topic_index", "header_time_ns", "time_s", "arm"), ["episode"], ["topic_index"])
+    seconds = F.col("time_s")
+    extent = line.df.groupBy("episode").agg(F.min("time_s").alias("origin_s"), F.max("time_s").alias("last_s"))
+    edges = spikes.joint_edges(line, "arm", "topic_index", seconds, config)
+    jumps = durable(spikes.merged_jumps(edges, ["episode"]))
+    strongest = spikes.strongest_jump(jumps, ["episode"])
+    abnormal = spikes.abnormal_window(line.df, strongest, extent, ["episode"], "topic_index", seconds, abnormal_window_s)
+    runs = spikes.clean_runs(line, "arm", "topic_index", seconds, joints, config)
+    normal = spikes.normal_window(line, runs, "arm", "topic_index", seconds, joints, normal_window_s)
+    windows = durable(
+        abnormal.withColumn("window", F.lit("jump")).unionByName(normal.drop("motion_deg").withColumn("window", F.lit("normal")))
+    )
+    samples = line.df.join(windows, "episode").filter(F.col("topic_index").between(F.col("start_frame"), F.col("end_frame")))
+    starts = strongest.select("episode", F.col("sample_start").alias("topic_index"), F.lit("jump").alias("window")).unionByName(
+        normal.select("episode", F.col("start_frame").alias("topic_index"), F.lit("normal").alias("window"))
+    )
+    probes = starts.join(line.df.select("episode", "topic_index", F.col("header_time_ns").alias("probe_ns")), ["episode", "topic_index"])
+    head = rows.filter(F.col("topic") == contract.HEAD_CAMERA).select("episode", F.col("topic_index").alias("image_index"), F.col("header_time_ns").alias("image_ns"))
+    windowed = head.join(probes.select("episode", "window").distinct(), "episode")
+    pictures = spikes.nearest_probe(probes.drop("topic_index"), windowed, ["episode", "window"], "probe_ns", "image_ns", "image_index")
+    return {"jumps": jumps, "strongest": strongest, "windows": windows, "samples": samples.drop("start_frame", "end_frame"), "pictures": pictures}
+
+
 def inspect_motion(frames: DataFrame, names: Sequence[str], vector: str, limits: DataFrame, signal, operators: OperatorConfig | None = None) -> dict[str, DataFrame]:
     """Joint motion of a converted dataset (``episode_index``, ``frame_index``, ``timestamp``, radians)."""
     config = (operators or OperatorConfig()).joint_motion

@@ -39,6 +39,12 @@ def luminance_metrics(samples: Column, config: Exposure | None = None) -> dict[s
     }
 
 
+def clipping_mask(samples: Column, config: Exposure | None = None) -> Column:
+    """Which samples are clipped: the predicate behind a mask picture."""
+    limit = (config or Exposure()).clip_luminance
+    return F.transform(samples, lambda y: y > limit)
+
+
 def image_luminance_metrics(images: DataFrame, image: str = "image", config: Exposure | None = None) -> DataFrame:
     """The same metrics for decoded frames (blue-green-red bytes, Spark image struct).
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,3 +59,12 @@ def histogram(df: DataFrame, keys: Sequence[str], value: Column, bins: int = 60)
     spot = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))).otherwise(0)
     binned = rows.join(ends, list(keys)).withColumns({"bin": spot.cast("bigint"), "bin_start": F.col("_lo") + spot * width})
     return binned.groupBy(*keys, "bin").agg(F.min("bin_start").alias("bin_start"), F.count("*").alias("rows"))
+
+
+def new_run_folder(root: str, label: str) -> str:
+    """A folder named by time and label that did not exist before."""
+    stamp = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%fZ")
+    folder = f"{root.rstrip('/')}/{stamp}_{label.replace('/', '__').replace(' ', '_')}"
+    system, plain = open_folder(folder)
+    system.create_dir(plain, recursive=True)
+    return folder

@@ -234,3 +234,45 @@ def test_quality_report(spark, recordings, tmp_path):
     path.write_text(json.dumps({"episode_000001": {"colour": 1}}))
     with pytest.raises(ValueError, match="unknown settings"):
         read_annotations(spark, str(path))
+
+
+def test_camera_frames_and_exposure(spark, recordings):
+    import numpy as np
+
+    def decode(data: bytes):
+        if data[0] == 7:
+            raise ValueError("broken picture")
+        return np.full((2, 3, 3), 255 if data[0] < 5 else 0, np.uint8)
+
+    report = jobs.inspect_cameras(spark, recordings, decode, episodes=["episode_000001"], max_frames=20)
+    frames = report["frames"]
+    assert frames.count() == 3 * 19 and report["failures"].count() == 3
+    segments = {r.camera: (r.start_frame, r.end_frame) for r in report["segments"].collect()}
+    assert segments == {topic: (0, 4) for topic in contract.IMAGE_TOPICS}
+    assert [r.status for r in report["status"].collect()] == ["warning"]
+    head = frames.filter(F.col("camera") == contract.HEAD_CAMERA).orderBy("frame_index").collect()
+    assert head[0].timestamp_s == 0.0 and abs(head[3].timestamp_s - 0.1) < 1e-3
+
+
+def test_jump_evidence(spark, recordings):
+    found = jobs.jump_evidence(spark, recordings)
+    jump = found["strongest"].collect()
+    assert [r.episode for r in jump] == ["episode_000001"] and jump[0].joints == [3]
+    windows = {(r.episode, r.window): (r.start_frame, r.end_frame) for r in found["windows"].collect()}
+    low, high = windows["episode_000001", "jump"]
+    assert low <= jump[0].sample_start and high >= jump[0].sample_end
+    low, high = windows["episode_000001", "normal"]
+    assert not low <= 20 <= high and ("episode_000002", "normal") in windows
+    pictures = found["pictures"].filter("episode = 'episode_000001' AND window = 'jump'").collect()
+    assert len(pictures) == 1 and abs(pictures[0].delta_ns) <= 40_000_000
+
+
+def test_snapshots_notice_changes(spark, tmp_path):
+    from telemark.sources.episodes import changed_files, file_snapshot
+
+    write_episode(tmp_path / "episode_1", episode_messages(4))
+    before = file_snapshot(spark, str(tmp_path))
+    assert changed_files(before, file_snapshot(spark, str(tmp_path))).isEmpty()
+    with (tmp_path / "episode_1" / "part_0.mcap").open("ab") as handle:
+        handle.write(b"x")
+    assert changed_files(before, file_snapshot(spark, str(tmp_path))).count() == 1
