@@ -355,9 +355,19 @@ def repair_spikes(
 
 
 def inspect_quality(
-    spark: SparkSession, source: str, *, annotations: DataFrame | None = None, config: PipelineConfig | None = None, task: str = ""
+    spark: SparkSession,
+    source: str,
+    *,
+    annotations: DataFrame | None = None,
+    config: PipelineConfig | None = None,
+    task: str = "",
+    decode=None,
 ) -> dict[str, DataFrame]:
-    """The composite quality report: clocks, values, residuals, motion, labels, verdict."""
+    """The composite quality report: clocks, values, residuals, motion, labels, verdict.
+
+    With ``decode`` (one encoded picture to pixels) an even sample of every
+    camera is read as well.
+    """
     config = config or PipelineConfig()
     raw = mcap.scan(spark, source)
     rows = durable(mcap.messages(raw).withColumn("time_ns", conversion.converter_time()))
@@ -379,7 +389,28 @@ def inspect_quality(
     )
     topic = F.col("topic")
     limit = F.when(topic.isin(*contract.ACTION_TOPICS), 120.0).otherwise(45.0)
-    cameras = clocks.filter(topic.isin(*contract.IMAGE_TOPICS)).withColumns({"decode_failures": F.lit(0), "shapes": F.lit(1)})
+    shots = clocks.filter(topic.isin(*contract.IMAGE_TOPICS))
+    pictures = {}
+    if decode is None:
+        shots = shots.withColumns({"decode_failures": F.lit(0), "shapes": F.lit(1)})
+    else:
+        pointers = rows.filter(F.col("image").isNotNull()).select(*keys, "topic_index", "image")
+        sampled = images.uniform_sample(pointers, keys, "topic_index", config.image.decode_samples_per_topic)
+        pixels = durable(cameras.decoded(sampled, decode))
+        shape = F.struct("image.height", "image.width", "image.nChannels")
+        counted = pixels.groupBy(*keys).agg(
+            F.count("decode_error").alias("decode_failures"),
+            F.count_distinct(F.when(F.col("image").isNotNull(), shape)).alias("shapes"),
+        )
+        shots = shots.join(counted, keys)
+        measured = images.sample_metrics(pixels.filter(F.col("image").isNotNull())).drop("image", "decode_error")
+        hashed = images.uniform_sample(pointers, keys, "topic_index", config.image.hash_samples_per_topic)
+        loaded = mcap.fetch(hashed.select(*keys, "image.*"), "path", "offset", "size")
+        pictures = {
+            "picture_samples": measured,
+            "picture_summary": images.sample_summary(measured, keys),
+            "picture_hashes": images.hash_duplicates(loaded, keys, F.col("data")),
+        }
     frames = track(plan.frames.withColumns({"state": F.col("`observation.state`")}), ["episode"], ["frame_index"])
     steps = quality.action_steps(frames, "action", "frame_index")
     tracked = quality.tracking_cells(plan.frames.withColumn("state", F.col("`observation.state`")), ["episode"], "state", "action")
@@ -400,16 +431,18 @@ def inspect_quality(
         F.when(~F.col("stream_group").isin(*limits), quality.residual_rule("image_alignment_residual", config.conversion.max_image_delta_ms))
     )
     subject = F.col("topic")
-    risks = quality.apply_rules(numeric, ["episode"], quality.numeric_rules(limit), subject)
+    tcp = quality.tcp_streams(rows)
+    numbers = numeric.filter(~topic.isin(*contract.IMAGE_TOPICS))
+    risks = quality.apply_rules(numbers, ["episode"], quality.numeric_rules(limit), subject)
     for more in (
-        quality.apply_rules(cameras, ["episode"], quality.camera_rules(config.timestamp.image_gap_floor_ms, topic == contract.HEAD_CAMERA), subject),
+        quality.apply_rules(shots, ["episode"], quality.camera_rules(config.timestamp.image_gap_floor_ms, topic == contract.HEAD_CAMERA), subject),
         quality.apply_rules(plan.residuals, ["episode"], residual_rules, F.col("stream_group")),
         quality.apply_rules(movement, ["episode"], quality.motion_rules(config.joint_motion.max_tracking_p95_deg), F.lit("arm")),
         quality.apply_rules(labels, ["episode"], quality.label_rules(), F.lit("labels")),
+        quality.apply_rules(tcp, ["episode"], [quality.tcp_rule()], F.lit("tool")),
         quality.apply_rules(plan.rejected, ["episode"], [quality.failure_rule(F.col("reason"))], F.lit("conversion")),
     ):
         risks = risks.unionByName(more)
-    tcp = rows.filter(topic.isin(contract.LEFT_TCP_STATE, contract.LEFT_LEADER_TCP) & F.col("values").isNotNull())
     episodes = quality.roll_up(risks, ["episode"])
     return {
         "risks": risks,
@@ -420,7 +453,8 @@ def inspect_quality(
         "residuals": plan.residuals,
         "movement": movement,
         "largest_jumps": quality.largest_jumps(steps, ["episode"]),
-        "tcp_values": quality.array_metrics(tcp, keys, "values"),
+        "tool": tcp,
+        **pictures,
         "encoded_sizes": images.encoded_sizes(
             rows.filter(F.col("image").isNotNull()).select(*keys, F.col("image.size").alias("size")), keys, "size"
         ),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from telemark import contract
 from telemark.functions.quantile import summarise
 from telemark.functions.scalar import is_finite, is_infinite
-from telemark.functions.sequence import Track, carry
+from telemark.functions.sequence import Track, carry, track
 from telemark.operators.timeline import top_rows
 
 
@@ -105,6 +105,24 @@ def tcp_scale(rows: DataFrame, keys: Sequence[str], measured: Column, leader: Co
     return medians.withColumn("translation_scale_ratio", ratio)
 
 
+def tcp_streams(messages: DataFrame, time: str = "time_ns") -> DataFrame:
+    """The same comparison for the two left tool streams of recordings, per episode.
+
+    Episodes that lack one of the streams are left out.
+    """
+    measured, leader = contract.LEFT_TCP_STATE, contract.LEFT_LEADER_TCP
+    rows = messages.filter(F.col("topic").isin(measured, leader) & F.col("values").isNotNull())
+    cells = rows.select("episode", "topic", F.explode(F.slice("values", 1, 3)).alias("_x"))
+    medians = summarise(cells, ["episode", "topic"], [], {"x": (F.abs("_x"), {"_m": 0.5})})
+    both = medians.groupBy("episode").agg(
+        F.max(F.when(F.col("topic") == measured, F.col("_m"))).alias("measured_translation_median_abs"),
+        F.max(F.when(F.col("topic") == leader, F.col("_m"))).alias("lead_translation_median_abs"),
+    )
+    ratio = F.col("measured_translation_median_abs") / F.greatest(F.col("lead_translation_median_abs"), F.lit(1e-12))
+    line = track(rows.filter(F.col("topic") == leader), ["episode"], [time, "record_index"])
+    return both.withColumn("translation_scale_ratio", ratio).dropna().join(orientation_step(line, "values"), "episode")
+
+
 def orientation_step(frames: Track, vector: str) -> DataFrame:
     """Largest single-step change of the three orientation components."""
     looked = carry(frames, prev={"_v1": F.col(vector)}).df

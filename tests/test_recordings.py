@@ -225,11 +225,19 @@ def test_spike_repair_and_audit(spark, recordings, tmp_path):
 def test_quality_report(spark, recordings, tmp_path):
     path = tmp_path / "annotations.json"
     path.write_text(json.dumps({"episode_000001": {"success": False, "task": "sort"}, "episode_000002": {"success": True}}))
-    report = jobs.inspect_quality(spark, recordings, annotations=read_annotations(spark, str(path)), task="default")
+    import numpy as np
+
+    def decode(data: bytes):
+        return np.full((4, 4 + data[0] % 2, 3), data[0], np.uint8)
+
+    report = jobs.inspect_quality(spark, recordings, annotations=read_annotations(spark, str(path)), task="default", decode=decode)
+    assert report["picture_samples"].groupBy("episode", "topic").count().select("count").distinct().collect() == [(12,)]
+    assert report["picture_hashes"].filter("duplicate_hashes > 0").isEmpty()
     risks = {(r.episode, r.risk_id): r.status for r in report["risks"].collect()}
     assert risks["episode_000001", "demonstration_failed"] == "fail"
     assert risks["episode_000002", "success_label_verified"] == "pass"
     assert risks["episode_000001", "camera_timestamp_nonpositive"] == "warning"
+    assert risks["episode_000001", "image_shape_changed"] == "fail"
     assert {r.episode: r.overall_status for r in report["episodes"].collect()}["episode_000001"] == "fail"
     path.write_text(json.dumps({"episode_000001": {"colour": 1}}))
     with pytest.raises(ValueError, match="unknown settings"):
