@@ -35,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--annotations", help="JSON object of episode settings")
             job.add_argument("--task", default="")
         if name == "repair-spikes":
-            job.add_argument("--topic", default=contract.LEADER_JOINTS)
+            job.add_argument("--topic", default=contract.FOLLOWER_JOINTS)
             job.add_argument("--joint-prefix", default="arm_")
             for option in dataclasses.fields(SpikeRepair):
                 job.add_argument("--" + option.name.replace("_", "-"), type=type(option.default), default=option.default)

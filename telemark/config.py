@@ -160,8 +160,8 @@ class OperatorConfig:
 
 @dataclass(frozen=True)
 class SpikeRepair:
-    max_step_deg: float = 25.0
-    max_velocity_deg_s: float = 500.0
+    max_step_deg: float = 15.0
+    max_velocity_deg_s: float = 300.0
     max_repair_run_frames: int = 6
     max_anchor_delta_deg: float = 15.0
     min_correction_deg: float = 5.0

@@ -31,6 +31,10 @@ from telemark.sources.episodes import missing_topics
 CORRECTIONS = "timestamp_corrections"
 MANIFEST = "cleaning_manifest"
 
+# Limits of the quality report that no configuration table carries.
+MAX_STATE_GAP_MS, MAX_ACTION_GAP_MS, MAX_IMAGE_GAP_MS = 30.0, 120.0, 70.0
+IMAGE_SAMPLES = 24
+
 
 def guard_output(source: str, target: str) -> None:
     """Results never go into the folder they are made from."""
@@ -215,7 +219,7 @@ def analyze_resampling(
     samples: DataFrame,
     config: TimestampQuality | None = None,
     *,
-    thresholds_ms: Sequence[float] = (10.0, 20.0, 30.0, 40.0),
+    thresholds_ms: Sequence[float] = (10.0, 20.0, 33.333, 40.0, 60.0),
     topics: Sequence[str] = contract.REQUIRED_TOPICS,
 ) -> dict[str, DataFrame]:
     """Stream, pair and gap tables of a resampling run."""
@@ -318,7 +322,7 @@ def repair_spikes(
     target: str | None,
     config: SpikeRepair | None = None,
     *,
-    topic: str = contract.LEADER_JOINTS,
+    topic: str = contract.FOLLOWER_JOINTS,
     prefix: str = "arm_",
     overwrite: bool = False,
 ) -> dict[str, DataFrame]:
@@ -388,14 +392,14 @@ def inspect_quality(
         values.groupBy(*keys).agg(F.sum("nan_count").alias("nan_count"), F.sum("inf_count").alias("inf_count")), keys
     )
     topic = F.col("topic")
-    limit = F.when(topic.isin(*contract.ACTION_TOPICS), 120.0).otherwise(45.0)
+    limit = F.when(topic.isin(*contract.ACTION_TOPICS), MAX_ACTION_GAP_MS).otherwise(MAX_STATE_GAP_MS)
     shots = clocks.filter(topic.isin(*contract.IMAGE_TOPICS))
     pictures = {}
     if decode is None:
         shots = shots.withColumns({"decode_failures": F.lit(0), "shapes": F.lit(1)})
     else:
         pointers = rows.filter(F.col("image").isNotNull()).select(*keys, "topic_index", "image")
-        sampled = images.uniform_sample(pointers, keys, "topic_index", config.image.decode_samples_per_topic)
+        sampled = images.uniform_sample(pointers, keys, "topic_index", IMAGE_SAMPLES)
         pixels = durable(cameras.decoded(sampled, decode))
         shape = F.struct("image.height", "image.width", "image.nChannels")
         counted = pixels.groupBy(*keys).agg(
@@ -404,8 +408,7 @@ def inspect_quality(
         )
         shots = shots.join(counted, keys)
         measured = images.sample_metrics(pixels.filter(F.col("image").isNotNull())).drop("image", "decode_error")
-        hashed = images.uniform_sample(pointers, keys, "topic_index", config.image.hash_samples_per_topic)
-        loaded = mcap.fetch(hashed.select(*keys, "image.*"), "path", "offset", "size")
+        loaded = mcap.fetch(sampled.select(*keys, "image.*"), "path", "offset", "size")
         pictures = {
             "picture_samples": measured,
             "picture_summary": images.sample_summary(measured, keys),
@@ -435,7 +438,7 @@ def inspect_quality(
     numbers = numeric.filter(~topic.isin(*contract.IMAGE_TOPICS))
     risks = quality.apply_rules(numbers, ["episode"], quality.numeric_rules(limit), subject)
     for more in (
-        quality.apply_rules(shots, ["episode"], quality.camera_rules(config.timestamp.image_gap_floor_ms, topic == contract.HEAD_CAMERA), subject),
+        quality.apply_rules(shots, ["episode"], quality.camera_rules(MAX_IMAGE_GAP_MS, topic == contract.HEAD_CAMERA), subject),
         quality.apply_rules(plan.residuals, ["episode"], residual_rules, F.col("stream_group")),
         quality.apply_rules(movement, ["episode"], quality.motion_rules(config.joint_motion.max_tracking_p95_deg), F.lit("arm")),
         quality.apply_rules(labels, ["episode"], quality.label_rules(), F.lit("labels")),
@@ -520,7 +523,7 @@ def jump_evidence(
 ) -> dict[str, DataFrame]:
     """Per episode: all jumps, the strongest one, a window around it, a clean
     reference window, the samples of both, and the head pictures closest to them."""
-    config = config or SpikeRepair()
+    config = config or SpikeRepair(max_step_deg=25.0, max_velocity_deg_s=500.0)
     rows = durable(mcap.messages(mcap.scan(spark, source, topics=[topic, contract.HEAD_CAMERA])))
     states = rows.filter(F.col("topic") == topic).withColumn("arm", columns_with_prefix(prefix))
     origin = states.groupBy("episode").agg(F.min_by("header_time_ns", "topic_index").alias("_origin"))

@@ -274,21 +274,22 @@ def step_anomalies_top20(spark, folder):
 
 # --- alignment ---
 
-_GRID_SQL = f"""WITH {MESSAGES_SQL}, ends AS (SELECT topic, min(pub_ns) AS f, max(pub_ns) AS l FROM stream GROUP BY topic),
-span AS (SELECT max(f) AS s, min(l) AS e, min(f) AS origin FROM ends),
-targets AS (SELECT i AS target_index, s + i * 120000000000 AS t FROM span, generate_series(0, (e - s) // 120000000000) g(i)),
-asked AS (SELECT topic, target_index, t FROM targets, (SELECT DISTINCT topic FROM stream)),
-lefts AS (SELECT a.*, b.pub_ns AS lt, b.topic_index AS li FROM asked a ASOF LEFT JOIN stream b ON a.topic = b.topic AND a.t > b.pub_ns),
-both_ AS (SELECT a.*, c.pub_ns AS rt, c.topic_index AS ri FROM lefts a ASOF LEFT JOIN stream c ON a.topic = c.topic AND a.t <= c.pub_ns),
-chosen AS (SELECT topic, target_index, t, CASE WHEN rt IS NULL OR (lt IS NOT NULL AND t - lt <= rt - t) THEN li ELSE ri END AS source_index,
+_GRID_SQL = f"""WITH {MESSAGES_SQL}, ends AS (SELECT episode, topic, min(pub_ns) AS f, max(pub_ns) AS l FROM stream GROUP BY ALL),
+span AS (SELECT episode, max(f) AS s, min(l) AS e, min(f) AS origin FROM ends GROUP BY episode),
+targets AS (SELECT episode, i AS target_index, s + i * 120000000000 AS t FROM span, generate_series(0, (e - s) // 120000000000) g(i)),
+asked AS (SELECT episode, topic, target_index, t FROM targets JOIN (SELECT DISTINCT episode, topic FROM stream) USING (episode)),
+lefts AS (SELECT a.*, b.pub_ns AS lt, b.topic_index AS li FROM asked a ASOF LEFT JOIN stream b ON a.episode = b.episode AND a.topic = b.topic AND a.t > b.pub_ns),
+both_ AS (SELECT a.*, c.pub_ns AS rt, c.topic_index AS ri FROM lefts a ASOF LEFT JOIN stream c ON a.episode = c.episode AND a.topic = c.topic AND a.t <= c.pub_ns),
+chosen AS (SELECT episode, topic, target_index, t, CASE WHEN rt IS NULL OR (lt IS NOT NULL AND t - lt <= rt - t) THEN li ELSE ri END AS source_index,
  CASE WHEN rt IS NULL OR (lt IS NOT NULL AND t - lt <= rt - t) THEN lt ELSE rt END AS src FROM both_),
 mapped AS (SELECT *, src - t AS residual_ns, (src - t) / 1e6 AS residual_ms,
- coalesce(source_index = lag(source_index) OVER (PARTITION BY topic ORDER BY target_index), false) AS reused FROM chosen)"""
+ coalesce(source_index = lag(source_index) OVER (PARTITION BY episode, topic ORDER BY target_index), false) AS reused FROM chosen)"""
 
 
-def _one_episode(spark, folder) -> Track:
-    line = stream(spark, folder, "pub_ns").derive({"episode": F.lit("all")})
-    return Track(line.df, ("episode", *line.keys), line.order, line.segments)
+def _episodes(spark, folder) -> Track:
+    """Streams per episode; a recording is one calendar year of events."""
+    line = stream(spark, folder, "pub_ns")
+    return Track(line.df, ("episode", *line.keys), line.order, line.segments, line.looked, line.largest)
 
 
 def target_bound(spark, folder) -> int:
@@ -299,7 +300,7 @@ def target_bound(spark, folder) -> int:
 
 def mappings(spark, folder):
     """Target mapping whose original time is the raw header stamp."""
-    line = _one_episode(spark, folder).derive({"header_or_pub": F.coalesce("header_time_ns", "pub_ns")})
+    line = _episodes(spark, folder).derive({"header_or_pub": F.coalesce("header_time_ns", "pub_ns")})
     return resample.target_mappings(line, ["episode"], FPS, "time_ns", "header_or_pub", "topic_index")
 
 
@@ -313,14 +314,14 @@ def fixed_grid(spark, folder):
 
 
 def _spans(spark, folder):
-    rows = messages(spark, folder).select(F.lit("all").alias("episode"), "topic", "pub_ns")
+    rows = messages(spark, folder).select("episode", "topic", "pub_ns")
     return align.common_spans(rows, ["episode"], "topic", "pub_ns")
 
 
 @query(
     "fixed_grid_float",
-    f"""WITH {MESSAGES_SQL}, ends AS (SELECT topic, min(pub_ns) AS f, max(pub_ns) AS l FROM stream GROUP BY topic),
- span AS (SELECT max(f) AS s, min(l) AS e FROM ends)
+    f"""WITH {MESSAGES_SQL}, ends AS (SELECT episode, topic, min(pub_ns) AS f, max(pub_ns) AS l FROM stream GROUP BY ALL),
+ span AS (SELECT max(f) AS s, min(l) AS e FROM ends GROUP BY episode)
  SELECT i AS target_index, round_even(s + i * (1e9 / 0.007::DOUBLE), 0)::BIGINT AS target_time_ns
  FROM span, generate_series(0, floor((e - s) / (1e9 / 0.007::DOUBLE))::BIGINT) g(i)""",
 )
@@ -331,8 +332,8 @@ def fixed_grid_float(spark, folder):
 
 @query(
     "trimmed_grid",
-    f"""WITH {MESSAGES_SQL}, ends AS (SELECT topic, min(pub_ns) AS f, max(pub_ns) AS l FROM stream GROUP BY topic),
- span AS (SELECT max(f) AS cs, min(l) AS ce, min(f) AS o FROM ends),
+    f"""WITH {MESSAGES_SQL}, ends AS (SELECT episode, topic, min(pub_ns) AS f, max(pub_ns) AS l FROM stream GROUP BY ALL),
+ span AS (SELECT max(f) AS cs, min(l) AS ce, min(f) AS o FROM ends GROUP BY episode),
  cut AS (SELECT greatest(cs, o + 86400000000000) AS s, least(ce, o + 1728000000000000) AS e FROM span)
  SELECT s AS start_ns, e AS end_ns, floor((e - s) / (1e9 / 0.007::DOUBLE))::BIGINT + 1 AS target_count FROM cut WHERE e > s""",
 )
@@ -450,7 +451,7 @@ TOPICS = ("click", "error", "purchase", "signup", "view")
 @query(
     "pairwise_skew",
     f"""{_GRID_SQL}, pr AS (SELECT l.topic AS left_topic, r.topic AS right_topic, (l.src - r.src) / 1e6 AS s
- FROM mapped l JOIN mapped r ON l.target_index = r.target_index AND l.topic < r.topic),
+ FROM mapped l JOIN mapped r ON l.episode = r.episode AND l.target_index = r.target_index AND l.topic < r.topic),
  x AS (SELECT *, abs(s) AS a FROM pr)
  SELECT left_topic, right_topic, {DISTRIBUTION_SQL.format('s', 'signed_')}, {DISTRIBUTION_SQL.format('a', 'abs_')},
  count(*) FILTER (s < 0) AS past_source_count, count(*) FILTER (s = 0) AS exact_source_count, count(*) FILTER (s > 0) AS future_source_count
@@ -464,7 +465,7 @@ def pairwise_skew(spark, folder):
 @query(
     "worst_pairs",
     f"""{_GRID_SQL}, pr AS (SELECT l.topic AS left_topic, r.topic AS right_topic, abs(l.src - r.src) / 1e6 AS a
- FROM mapped l JOIN mapped r ON l.target_index = r.target_index AND l.topic < r.topic),
+ FROM mapped l JOIN mapped r ON l.episode = r.episode AND l.target_index = r.target_index AND l.topic < r.topic),
  q AS (SELECT left_topic, right_topic, round(quantile_cont(a, 0.95), 6) AS abs_p95_ms FROM pr GROUP BY ALL)
  SELECT row_number() OVER (ORDER BY abs_p95_ms DESC, left_topic, right_topic) AS place, * FROM q ORDER BY place LIMIT 5""",
 )

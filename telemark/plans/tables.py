@@ -49,6 +49,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     hours = 7_200_000_000_000
     header = F.when(key % 101 == 0, F.lit(None)).when(key % 50 < 10, floor_div(pub, hours) * hours).otherwise(pub)
     return events.select(
+        F.year("ts").cast("string").alias("episode"),
         F.col("event_type").alias("topic"),
         key.alias("record_index"),
         "user_id",
@@ -62,7 +63,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 MESSAGES_SQL = """
 msg AS (
-  SELECT event_type AS topic, event_id AS record_index, user_id, value, pub AS pub_ns,
+  SELECT year(ts)::VARCHAR AS episode, event_type AS topic, event_id AS record_index, user_id, value, pub AS pub_ns,
          CASE WHEN event_id % 103 = 0 THEN 0 ELSE pub END AS publish_time_ns,
          pub + (event_id % 7) * 1000000 AS log_time_ns,
          CASE WHEN event_id % 101 = 0 THEN NULL

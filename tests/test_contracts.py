@@ -268,7 +268,7 @@ def frames_of(spark, vectors, dt=0.05):
 
 
 def judged_runs(spark, values, **limits):
-    config = SpikeRepair(max_velocity_deg_s=1e9, **limits)
+    config = SpikeRepair(**{"max_step_deg": 25.0, "max_velocity_deg_s": 1e9, **limits})
     frames = frames_of(spark, [[x] for x in values])
     extent = frames.df.groupBy("episode").agg(F.count("*").alias("frames"), F.min("s").alias("origin_s"))
     edges = spikes.joint_edges(frames, "v", "frame", F.col("s"), config)

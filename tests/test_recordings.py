@@ -208,7 +208,7 @@ def test_conversion_rejects_bad_episodes(spark, tmp_path):
 
 
 def test_spike_repair_and_audit(spark, recordings, tmp_path):
-    result = jobs.repair_spikes(spark, recordings, str(tmp_path / "fixed"))
+    result = jobs.repair_spikes(spark, recordings, str(tmp_path / "fixed"), topic=contract.LEADER_JOINTS)
     status = {r.episode: r.status for r in result["status"].collect()}
     assert status == {"episode_000001": "repaired", "episode_000002": "clean"}
     after = mcap.messages(mcap.scan(spark, str(tmp_path / "fixed"), topics=[contract.LEADER_JOINTS]))
@@ -231,7 +231,7 @@ def test_quality_report(spark, recordings, tmp_path):
         return np.full((4, 4 + data[0] % 2, 3), data[0], np.uint8)
 
     report = jobs.inspect_quality(spark, recordings, annotations=read_annotations(spark, str(path)), task="default", decode=decode)
-    assert report["picture_samples"].groupBy("episode", "topic").count().select("count").distinct().collect() == [(12,)]
+    assert report["picture_samples"].groupBy("episode", "topic").count().select("count").distinct().collect() == [(24,)]
     assert report["picture_hashes"].filter("duplicate_hashes > 0").isEmpty()
     risks = {(r.episode, r.risk_id): r.status for r in report["risks"].collect()}
     assert risks["episode_000001", "demonstration_failed"] == "fail"
