@@ -120,7 +120,8 @@ def plan_episodes(
     line = carry(line, number="sorted_index")
     repaired = affine_repair(line, "sorted_index", "time_ns")
     used = F.when(F.col("topic").isin(*contract.IMAGE_TOPICS), F.col("repaired_ns")).otherwise(F.col("time_ns"))
-    ready = track(repaired.withColumn("used_ns", used), ["episode", "topic"], ["used_ns", "record_index"], bound=bound)
+    timed = repaired.withColumn("used_ns", used)
+    ready = track(timed, ["episode", "topic"], ["used_ns", "record_index"], bound=line.largest)
 
     per_topic = ready.df.groupBy("episode", "topic").agg(F.min("used_ns").alias("_f"), F.max("used_ns").alias("_l"))
     spans = per_topic.groupBy("episode").agg(
