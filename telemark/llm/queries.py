@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from telemark.llm import bpe, classifier, contamination, rules, simhash
-from telemark.llm.shared import crc32_mod, table
+from telemark.llm import bloom_lm, bpe, chat, classifier, contamination, licences, packing, rules, simhash, warc
+from telemark.llm.shared import crc32_mod, scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -49,11 +49,41 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    found = warc.read(files, payload=False)
+    return found.select(
+        warc.page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_id("refers_to").alias("refers_to")
+    )
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = packing.write(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
+    return packing.read(files, digest=True)
+
+
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), licences.notices(spark))
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir, "documents"), crc32_mod(F.col("doc_id"), 10) == 0)
+
+
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
+    "op1_warc": warc_round_trip,
     "op2_quality_rules": quality_rules,
     "op3_simhash": simhash_components,
     "op4_byte_bpe": byte_bpe,
+    "op5_token_files": token_files,
     "op6_decontamination": decontamination,
+    "op7_licence_scan": licence_scan,
+    "op8_language_model": language_model,
+    "op9_chat_format": chat_format,
     "op10_quality_classifier": quality_classifier,
 }
 
@@ -77,4 +107,23 @@ ORACLES = {
         SELECT doc_id, item_id, n_shared, n_item, n_shared::DOUBLE / n_item AS containment
         FROM shared JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_item
     """,
+    "op9_chat_format": """
+        WITH turns AS (
+            SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+        ), placed AS (
+            SELECT conv_id, turn, role, text,
+                   row_number() OVER w AS place,
+                   string_agg(role || chr(1) || text || chr(2), '') OVER (w ROWS UNBOUNDED PRECEDING) AS so_far,
+                   count(*) OVER (PARTITION BY conv_id) AS n_turns
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        ), alive AS (
+            SELECT min(conv_id) AS conv_id FROM placed p
+            WHERE place = n_turns AND NOT EXISTS (
+                SELECT 1 FROM placed q WHERE q.so_far = p.so_far AND q.place < q.n_turns)
+            GROUP BY so_far
+        )
+        SELECT conv_id, any_value(n_turns) AS n_turns, coalesce(CAST(floor(turn / 1024) AS BIGINT), -1) AS part,
+               string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered
+        FROM placed JOIN alive USING (conv_id) GROUP BY conv_id, coalesce(CAST(floor(turn / 1024) AS BIGINT), -1)
+    """,
 }
