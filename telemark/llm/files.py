@@ -26,7 +26,7 @@ class NewFile:
         self.path = f"{folder}/{stem}-{uuid.uuid4().hex}{suffix}"
         system, inner = _place(self.path)
         system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        self.stream = system.open_output_stream(inner)
+        self.stream = system.open_output_stream(inner, compression=None)  # a name ending in .gz would be compressed again
         self.size = 0
 
     def write(self, data: bytes) -> None:

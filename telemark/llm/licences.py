@@ -21,8 +21,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-SMALLEST_CLASS = 8
+SMALLEST_CLASS = 16
+CLASS_STEP = 4
 MISS = 1e-4
+#: Templates of up to so many words in all are broadcast; more are joined by a shuffle.
+BROADCAST_WORDS = 50_000
 
 # Public licence notices, as they appear in files and pages.
 NOTICES = {
@@ -48,31 +51,44 @@ def _words(text: Column) -> Column:
 
 def _hashes(words: Column) -> Column:
     count = F.size(words) - (SHINGLE - 1)
-    return F.when(count >= 1, F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice(words, i, F.lit(SHINGLE))))).otherwise(
+    return F.when(count >= 1, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(*_run(words, i)))).otherwise(
         F.array().cast("array<bigint>")
     )
 
 
 def _shingles(words: Column) -> Column:
     count = F.size(words) - (SHINGLE - 1)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), count), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(SHINGLE)))))
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.concat_ws(" ", *_run(words, i))))
+
+
+def _run(words: Column, start: Column) -> list[Column]:
+    """The words of a shingle by place; ``slice`` would copy the whole array each time."""
+    return [F.get(words, start + k) for k in range(SHINGLE)]
+
+
+def _stretch(array: str, start: Column, length: int) -> Column:
+    """Up to ``length`` elements from ``start`` (from 1) on."""
+    stop = F.least(start + (length - 1), F.size(array))
+    return F.transform(F.sequence(start, stop), lambda i: F.get(array, i - 1))
 
 
 def _signature(hashes: Column, band_bits: int) -> Column:
     """The least hash of every band that has one: in sorted order, each hash whose band differs from that before."""
-    ordered = F.array_sort(hashes)
     shift = 64 - band_bits
-    before = F.concat(F.array(F.lit(None).cast("long")), ordered)
-    kept = F.zip_with(
-        ordered, before, lambda h, p: F.when(p.isNull() | (F.shiftright(h, shift) != F.shiftright(p, shift)), h)
-    )  # the one further element of ``before`` meets a null
-    return F.filter(kept, lambda h: h.isNotNull())
+    none = F.array(F.lit(None).cast("long"))
+
+    def firsts(ordered: Column) -> Column:
+        # the one further element of the shifted array meets a null, which the filter removes
+        kept = F.zip_with(ordered, F.concat(none, ordered), lambda h, p: F.when(p.isNull() | (F.shiftright(h, shift) != F.shiftright(p, shift)), h))
+        return F.filter(kept, lambda h: h.isNotNull())
+
+    return F.element_at(F.transform(F.array(F.sort_array(hashes)), firsts), 1)  # sorted once, used twice
 
 
 def size_class(count: int) -> int:
     size = SMALLEST_CLASS
     while size < count:
-        size *= 2
+        size *= CLASS_STEP
     return size
 
 
@@ -95,38 +111,42 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: float = CONTAINMENT)
     classes: dict[int, int] = {}
     for count, _ in sizes:
         classes[size_class(count)] = min(count, classes.get(size_class(count), count))
+    if not classes:
+        return docs.select("doc_id", F.lit("").alias("template_id"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).where("false")
+    bands = _template_bands(known, classes, threshold)
+    if known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= BROADCAST_WORDS:
+        bands = F.broadcast(bands)
     texts = docs.select("doc_id", _words(F.col("text")).alias("words"))
     texts = texts.select("doc_id", "words", _hashes(F.col("words")).alias("hashes"))
-    out = None
-    for size, smallest in sorted(classes.items()):
-        bits = band_bits(size, smallest, threshold)
-        upper, lower = F.size(F.array_distinct("hashes")) <= size, F.size(F.array_distinct("hashes")) > (size // 2 if size > SMALLEST_CLASS else 0)
-        bands = known.where(upper & lower).select("template_id", "wanted", F.explode(F.array_distinct(_signature(F.col("hashes"), bits))).alias("band"))
-        found = _matches(texts, bands, size, bits, threshold)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return docs.select("doc_id", F.lit("").alias("template_id"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).where("false")
-    return out.groupBy("doc_id", "template_id").agg(F.max("containment").alias("containment"), F.min("first_word").alias("first_word"))
+    windows = F.concat(*(_windows(size, band_bits(size, smallest, threshold)) for size, smallest in sorted(classes.items())))
+    probes = texts.select("doc_id", F.explode(windows).alias("w")).select("doc_id", "w.size", "w.first_word", "w.words", F.explode("w.bands").alias("band"))
+    pairs = probes.join(bands, ["size", "band"]).select("doc_id", "template_id", "first_word", "words", "wanted")
+    share = F.size(F.array_intersect("wanted", _shingles(F.col("words")))) / F.size("wanted")
+    found = pairs.select("doc_id", "template_id", "first_word", share.alias("containment")).where(F.col("containment") >= threshold)
+    return found.groupBy("doc_id", "template_id").agg(F.max("containment").alias("containment"), F.min("first_word").alias("first_word"))
 
 
-def _matches(texts: DataFrame, bands: DataFrame, size: int, bits: int, threshold: float) -> DataFrame:
+def _template_bands(known: DataFrame, classes: dict[int, int], threshold: float) -> DataFrame:
+    """size, band, template_id and wanted shingles: one row for each band of each template."""
+    distinct = F.array_distinct("hashes")
+    size, bands = F.lit(None).cast("int"), F.lit(None).cast("array<bigint>")
+    for at, smallest in sorted(classes.items(), reverse=True):
+        size = F.when(F.size(distinct) <= at, F.lit(at)).otherwise(size)
+        bands = F.when(F.size(distinct) <= at, _signature(distinct, band_bits(at, smallest, threshold))).otherwise(bands)
+    return known.select(size.alias("size"), F.explode(bands).alias("band"), "template_id", "wanted")
+
+
+def _windows(size: int, bits: int) -> Column:
+    """The windows of one class, each with its size, first word, bands and words."""
     count = F.size("hashes")
     # the last window begins where it still adds shingles to the one before
-    starts = F.when(count >= 1, F.sequence(F.lit(1), F.greatest(F.lit(1), count - size), F.lit(size)))
-    windows = texts.select(
-        "doc_id",
-        F.explode(
-            F.transform(
-                starts,
-                lambda at: F.struct(
-                    at.alias("first_word"),
-                    _signature(F.slice("hashes", at, F.lit(2 * size)), bits).alias("bands"),
-                    F.slice("words", at, F.lit(2 * size + SHINGLE - 1)).alias("words"),
-                ),
-            )
-        ).alias("w"),
+    starts = F.when(count >= 1, F.sequence(F.lit(1), F.greatest(F.lit(1), count - size), F.lit(size))).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        starts,
+        lambda at: F.struct(
+            F.lit(size).alias("size"),
+            at.alias("first_word"),
+            _signature(_stretch("hashes", at, 2 * size), bits).alias("bands"),
+            _stretch("words", at, 2 * size + SHINGLE - 1).alias("words"),
+        ),
     )
-    probes = windows.select("doc_id", "w.first_word", "w.words", F.explode("w.bands").alias("band"))
-    pairs = probes.join(bands, "band").select("doc_id", "template_id", "first_word", "words", "wanted")
-    share = F.size(F.array_intersect("wanted", _shingles(F.col("words")))) / F.size("wanted")
-    return pairs.select("doc_id", "template_id", "first_word", share.alias("containment")).where(F.col("containment") >= threshold)

@@ -41,12 +41,12 @@ PREFIX = "_q_"
 
 def _repeat_words(windows: Column) -> Column:
     """Words covered by windows that occur twice or more, from the windows' hashes in text order."""
-    keyed = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    keyed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     pairs = F.zip_with(
         keyed, F.slice(keyed, 2, F.greatest(F.size(windows), F.lit(1))),
         lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")),
     )
-    starts = F.array_sort(F.array_distinct(F.flatten(pairs)))
+    starts = F.sort_array(F.array_distinct(F.flatten(pairs)))
     covered = F.zip_with(
         starts, F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))),
         lambda p, q: F.least(F.lit(WINDOW), F.coalesce(q - p, F.lit(WINDOW))),
@@ -72,7 +72,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             f"{p}lines": F.filter(F.split(f"{p}text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
             f"{p}windows": F.when(
                 n >= WINDOW,
-                F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(f"{p}words", i, F.lit(WINDOW)))),
+                F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*(F.get(f"{p}words", i + k) for k in range(WINDOW)))),
             ).otherwise(F.array().cast("array<bigint>")),
             f"{p}distinct": F.size(F.array_distinct(f"{p}words")),
         }
