@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,7 +33,7 @@ from telemark.llm.shared import durable
 
 BITS_PER_ENTRY = 10
 MIN_BITS = 1 << 16
-MAX_BITS = 1 << 30
+MAX_BITS = 1 << 29
 PROBES = 3
 LEVEL_BASE = 1.4
 MAX_LEVEL = 120
@@ -40,7 +41,7 @@ SEGMENTS = 64
 STRENGTH = 4.0  # K: how many pairs the single-token distribution is worth
 ADDED = 0.1
 #: Tokens whose exact counts are broadcast; all others are joined.
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
 CACHED_WORDS = 400_000
 
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word contains white space
@@ -176,19 +177,16 @@ class Filter:
             out[active] = q
         return out
 
-    def scores(self, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
+    def scores(self, single: np.ndarray, at: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """log10 probability of each text; ``single`` are the distinct tokens and ``at`` each token's place there."""
         if not len(tokens):
             return np.zeros(len(bounds) - 1)
-        single, at = np.unique(tokens, return_inverse=True)
         counts = level_value(self.levels(single))
         alone = ((counts + ADDED) / (self.total + ADDED * (self.distinct + 1)))[at]
-        before = contexts(tokens, bounds)
         # a start is as frequent as an end, and any other context as frequent as its token
-        context = np.where(before == START, END, before)
-        known, back = np.unique(context, return_inverse=True)
-        context_counts = level_value(self.levels(known))[back]
-        pairs = np.minimum(level_value(self.levels(pair(before, tokens))), context_counts)
+        context_counts = np.concatenate(([0.0], counts[at[:-1]]))
+        context_counts[bounds[:-1]] = counts[at[bounds[1:] - 1]]
+        pairs = np.minimum(level_value(self.levels(pair(contexts(tokens, bounds), tokens))), context_counts)
         chances = (pairs + STRENGTH * alone) / (context_counts + STRENGTH)
         return np.add.reduceat(np.log10(chances), bounds[:-1])
 
@@ -246,24 +244,29 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     spark = docs.sparkSession
     filter_, counts = train(docs.where(~held_out))
-    shared = spark.sparkContext.broadcast((filter_.bits, filter_.total, filter_.distinct))
-    top = np.array([tuple(r) for r in counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()], np.int64).reshape(-1, 2)
-    top = top[np.argsort(top[:, 0].view(np.uint64))]
-    frequent = spark.sparkContext.broadcast((top[:, 0].copy().view(np.uint64), top[:, 1].copy()))
     total, distinct = filter_.total, filter_.distinct
+    raw = filter_.bits.tobytes()
+    del filter_  # one copy at a time in the driver
+    shared = spark.sparkContext.broadcast(raw)
+    del raw
+    top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
+    top_keys, top_counts = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    order = np.argsort(top_keys)
+    frequent = spark.sparkContext.broadcast((top_keys[order], top_counts[order]))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tokens = Filter(*shared.value), Tokens()
+        model, tokens = Filter(np.frombuffer(shared.value, np.uint8), total, distinct), Tokens()
         keys, known_counts = frequent.value
-        for batch in _slices(batches, 512):
+        for batch in _slices(batches, 1024):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             found, bounds = tokens.of(texts)
-            scores = model.scores(found, bounds)
-            where = np.searchsorted(keys, found)
-            near = np.minimum(where, max(len(keys) - 1, 0))
-            hit = keys[near] == found if len(keys) else np.zeros(len(found), bool)
-            logs = np.where(hit, np.log10((known_counts[near] + ADDED) / (total + ADDED * (distinct + 1))) if len(keys) else 0.0, 0.0)
+            at, single = pd.factorize(found)
+            scores = model.scores(single, at, found, bounds)
+            near = np.minimum(np.searchsorted(keys, single), max(len(keys) - 1, 0))
+            single_hit = keys[near] == single if len(keys) else np.zeros(len(single), bool)
+            single_logs = np.where(single_hit, np.log10((known_counts[near] + ADDED) / (total + ADDED * (distinct + 1))) if len(keys) else 0.0, 0.0)
+            hit, logs = single_hit[at], single_logs[at]
             rest, rest_n = [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 other, n = np.unique(found[a:b][~hit[a:b]], return_counts=True)
