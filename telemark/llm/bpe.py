@@ -31,6 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from telemark.llm.shared import byte_letters
+
 #: Characters of a piece; longer texts are cut.
 PIECE_CHARS = 1 << 15
 CACHED_UNITS = 300_000
@@ -59,6 +61,7 @@ class Codec:
         self.at_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.longest_special = max(map(len, self.special), default=0)
         self.known: dict[str, bytes] = {}
+        self.letters = byte_letters()
         self.lengths: np.ndarray | None = None
 
     def encode(self, text: str) -> bytes:
@@ -71,7 +74,13 @@ class Codec:
         if len(self.known) > CACHED_UNITS:
             self.known = {}
         known, later = self.known, {}
-        fresh = list(set().union(*cut).difference(known))
+        fresh = []
+        for unit in set().union(*cut).difference(known):
+            ids = self._plain(unit)
+            if ids is None:
+                fresh.append(unit)
+            else:
+                known[unit] = ids
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
             for unit, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
@@ -80,6 +89,22 @@ class Codec:
             known = known | later
         return [b"".join(map(known.__getitem__, units)) for units in cut]
 
+    def _plain(self, unit: str) -> bytes | None:
+        """Ids of a unit of letters, perhaps after one space or line end and before marks: its splits are
+        known, and only the merges are asked for.  None for any other unit."""
+        body = unit.lstrip(" \n")
+        core = body.rstrip(".,!?;:")
+        lead = unit[: len(unit) - len(body)]
+        if len(unit) > 64 or len(lead) > 1 or not core.isalpha():
+            return None
+        parts = [lead, core] if lead == "\n" else [lead + core]
+        out = []
+        for part in (*parts, body[len(core) :]):
+            if part:
+                mapped = part.encode().decode("latin-1").translate(self.letters)
+                out += [t.id for t in self.tokenizer.model.tokenize(mapped)]
+        return np.array(out, "<u4").tobytes()
+
     def decode(self, ids: np.ndarray) -> str:
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 

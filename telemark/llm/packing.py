@@ -13,6 +13,8 @@ ranges of (id, hash), so one repeated id does not fill a task.  A null text has
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telemark.llm.files import NewFile, open_input
-from telemark.llm.shared import durable, scratch
+from telemark.llm.shared import byte_letters, durable, scratch
 
 MAGIC = b"TMS8B\x00\x00\x01"
 BLOCK_IDS = 1 << 16
@@ -33,6 +35,7 @@ CACHED_WORDS = 400_000
 SHAPES = [(1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8), (8, 7), (10, 6), (12, 5), (15, 4), (20, 3), (30, 2), (60, 1)]
 ZEROS, ESCAPE, FIRST = 0, 1, 2
 RUN = 240
+_MARK = re.compile(rb"(?<=[a-z])(?=[.,!?;:*#$%&|])")
 
 
 def pack(ids: np.ndarray) -> np.ndarray:
@@ -176,13 +179,29 @@ class Encoder:
             raise ValueError("a tokenizer that drops white space is needed")
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
+
+    def cut(self, text: bytes | None) -> list[bytes]:
+        """Words in lower case, parted from the marks behind them, where the tokenizer always splits."""
+        text = text or b""
+        if b"<|" in text:  # perhaps a special token, which is matched before any change of case
+            return text.split()
+        return _MARK.sub(b" ", text.lower()).split()
 
     def encode_many(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        cut = [(t or b"").split() for t in texts]
+        cut = [self.cut(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known, later = self.known, {}
-        fresh = list(set().union(*cut).difference(known))
+        fresh = []
+        for word in set().union(*cut).difference(known):
+            plain = word.decode()
+            # letters in their normal form are one split: the merges alone are asked for
+            if plain.isalpha() and plain == plain.lower() and unicodedata.is_normalized("NFC", plain) and len(word) <= 64:
+                mapped = word.decode("latin-1").translate(self.letters)
+                known[word] = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+            else:
+                fresh.append(word)
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):

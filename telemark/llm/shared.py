@@ -49,3 +49,11 @@ def words(text: Column) -> Column:
     """Runs of characters other than ASCII white space; a null text has none."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE_CLASS}+"))
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes as, for ``str.translate`` on Latin-1 text:
+    printable bytes stand for themselves, the others follow from 256 on in order."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
