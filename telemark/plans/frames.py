@@ -408,9 +408,9 @@ def structural_audit(spark, folder):
     from telemark.operators import motion
     from telemark.plans.tables import joint_frames
 
-    names = [f"arm_l_j{i}" for i in range(1, 8)]
+    names = [f"joint_{i}" for i in range(1, 65)]
     key = F.col("vec_id")
-    plain = F.slice("vector", 1, 7)
+    plain = F.col("vector")
     values = F.when(key % 79 == 9, F.transform(plain, lambda x, i: F.when(i == 0, float("inf")).otherwise(x))).otherwise(plain)
     rows = joint_frames(spark, folder).rows().select(
         "episode",
@@ -440,20 +440,20 @@ def value_histogram(spark, folder):
     return settle(histogram(rows, ["topic"], F.col("value")))
 
 
-_BYTES_SQL = """WITH s AS (SELECT vec_id, p, c, greatest(0, least(255, round_even((embedding[p * 3 + c + 1]::DOUBLE * 1.2::DOUBLE + 0.8::DOUBLE) * 255, 0)))::INT AS code FROM embeddings, generate_series(0, 20) g(p), generate_series(0, 2) h(c)),
+_BYTES_SQL = """WITH s AS (SELECT vec_id, p, c, greatest(0, least(255, round_even((embedding[least(p * 3 + c, 63) + 1]::DOUBLE * 1.2::DOUBLE + 0.8::DOUBLE) * 255, 0)))::INT AS code FROM embeddings, generate_series(0, 21) g(p), generate_series(0, 2) h(c)),
  y AS (SELECT vec_id, p, c, code, CASE WHEN code / 255.0::DOUBLE <= 0.04045::DOUBLE THEN code / 255.0::DOUBLE / 12.92::DOUBLE ELSE pow((code / 255.0::DOUBLE + 0.055::DOUBLE) / 1.055::DOUBLE, 2.4::DOUBLE) END AS lin FROM s),
  px AS (SELECT vec_id, p, sum(CASE c WHEN 0 THEN 0.0722::DOUBLE WHEN 1 THEN 0.7152::DOUBLE ELSE 0.2126::DOUBLE END * lin) AS light,
  round_even(sum(CASE c WHEN 0 THEN 0.114::DOUBLE WHEN 1 THEN 0.587::DOUBLE ELSE 0.299::DOUBLE END * code), 0) AS gray FROM y GROUP BY ALL)"""
 
 
 def _decoded(spark, folder):
-    """Pictures of 3 x 7 pixels, as blue-green-red bytes made of each vector."""
+    """Pictures of 2 x 11 pixels, as blue-green-red bytes made of each vector; the last pixel repeats the last value."""
     code = F.transform(
-        F.slice(F.col("embedding").cast("array<double>"), 1, 63),
+        F.transform(F.sequence(F.lit(0), F.lit(65)), lambda i: F.get("embedding", F.least(i, F.lit(63))).cast("double")),
         lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.rint((x * 1.2 + 0.8) * 255).cast("int"))),
     )
     data = F.unhex(F.array_join(F.transform(code, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    shape = [F.lit(3).alias("height"), F.lit(7).alias("width"), F.lit(3).alias("nChannels")]
+    shape = [F.lit(2).alias("height"), F.lit(11).alias("width"), F.lit(3).alias("nChannels")]
     return read(spark, folder, "embeddings").select("vec_id", F.struct(*shape, data.alias("data")).alias("image"))
 
 

@@ -8,7 +8,7 @@ from telemark.config import ACTION_SIGNAL, JointMotion, SpikeRepair
 from telemark.functions.scalar import canonical_joint
 from telemark.operators import motion, quality, replay, spikes
 from telemark.plans.registry import Registry
-from telemark.plans.tables import JOINTS, JOINTS_SQL, ROBOT_SQL, joint_frames, read, robot_frames, row_count, settle
+from telemark.plans.tables import ARMS, JOINTS, JOINTS_SQL, ROBOT_SQL, joint_frames, read, robot_frames, row_count, settle
 
 _registry = Registry()
 query, QUERIES, ORACLES = _registry.query, _registry.queries, _registry.oracles
@@ -17,6 +17,8 @@ query, QUERIES, ORACLES = _registry.query, _registry.queries, _registry.oracles
 MOTION = JointMotion()
 SIGNAL = ACTION_SIGNAL
 LOWER, UPPER = -0.35, 0.35
+#: With 64 joints some joint moves far in nearly every step; a step counts as clean below these.
+CLEAN = SpikeRepair(max_step_deg=28.0, max_velocity_deg_s=560.0)
 SPIKES = SpikeRepair(max_step_deg=20.0, max_velocity_deg_s=600.0, max_anchor_delta_deg=15.0, min_correction_deg=5.0)
 
 
@@ -34,11 +36,11 @@ def cells(spark, folder):
 
 def limits(spark):
     """A robot description as text, matched to joint names of another spelling."""
-    names = [f"arm_{side}_j{i}" for side in "lr" for i in range(1, 8)]
+    names = [f"arm_{'lr'[k // 7]}_j{k % 7 + 1}" if k < ARMS else f"joint_{k}" for k in range(JOINTS)]
+    described = [f"arm_{'LR'[k // 7]}_joint{k % 7 + 1}" if k < ARMS else f"joint_{k}" for k in range(JOINTS)]
     joints = "".join(
-        f'<joint name="arm_{side}_joint{i}"><limit lower="{LOWER}" upper="{UPPER}" velocity="{7.0 if i % 2 else 0.0}"/></joint>'
-        for side in "LR"
-        for i in range(1, 8)
+        f'<joint name="{name}"><limit lower="{LOWER}" upper="{UPPER}" velocity="{0.0 if k % 7 % 2 else 7.0}"/></joint>'
+        for k, name in enumerate(described)
     )
     return motion.urdf_limits(spark, f"<robot>{joints}</robot>", names, SIGNAL)
 
@@ -69,7 +71,7 @@ def joint_quantiles(spark, folder):
 
 
 _EVENTS_SQL = f"""WITH {JOINTS_SQL}, lim AS (SELECT *, CASE WHEN (joint % 7 + 1) % 2 = 1 THEN 7.0::DOUBLE ELSE radians(500.0::DOUBLE) END AS vmax,
- 'arm_' || CASE WHEN joint < 7 THEN 'l' ELSE 'r' END || '_j' || (joint % 7 + 1) AS joint_name FROM kin),
+ CASE WHEN joint < 7 THEN 'arm_l_j' || (joint % 7 + 1) WHEN joint < 14 THEN 'arm_r_j' || (joint % 7 + 1) ELSE 'joint_' || joint END AS joint_name FROM kin),
 ev AS (
  SELECT episode, frame, t, joint, joint_name, 'position_limit' AS kind, 'fail' AS severity, degrees(v) AS value, degrees(CASE WHEN v < -0.35 THEN -0.35 ELSE 0.35 END::DOUBLE) AS threshold, 'deg' AS unit, NULL::DOUBLE AS recovery
  FROM lim WHERE v < -0.35::DOUBLE - radians(0.1::DOUBLE) OR v > 0.35::DOUBLE + radians(0.1::DOUBLE)
@@ -315,7 +317,8 @@ def abnormal_window(spark, folder):
     return spikes.abnormal_window(frames, best, _extent(frames), ["episode"], "frame", F.col("time_s"), 0.4)
 
 
-_CLEAN_SQL = f"""{_SPIKE_SQL}, touched AS (SELECT DISTINCT episode, edge AS frame FROM bad UNION SELECT DISTINCT episode, edge + 1 FROM bad),
+_CLEAN_EDGES = _SPIKE_SQL.replace("abs(d - d1) > 20 OR", "abs(d - d1) > 28 OR").replace("> 600", "> 560")
+_CLEAN_SQL = f"""{_CLEAN_EDGES}, touched AS (SELECT DISTINCT episode, edge AS frame FROM bad UNION SELECT DISTINCT episode, edge + 1 FROM bad),
 ok AS (SELECT f.episode, f.frame, f.frame - row_number() OVER (PARTITION BY f.episode ORDER BY f.frame) AS c FROM frames f ANTI JOIN touched t ON f.episode = t.episode AND f.frame = t.frame),
 cj AS (SELECT ok.episode, c, joint, min(ok.frame) AS s, max(ok.frame) AS e, max(d) - min(d) AS span FROM ok JOIN deg USING (episode, frame) GROUP BY ALL),
 cr AS (SELECT episode, min(s) AS s, max(e) AS e, max(span) AS motion FROM cj GROUP BY episode, c),
@@ -327,7 +330,7 @@ cg AS (SELECT * FROM cr WHERE e - s >= 2 AND motion >= 1)"""
     f"{_CLEAN_SQL} SELECT episode, s AS run_start, e AS run_end, round(s / 20.0, 6) AS run_from_s, round(e / 20.0, 6) AS run_to_s, round(motion, 6) AS motion_deg FROM cg",
 )
 def clean_runs(spark, folder):
-    return settle(spikes.clean_runs(joint_frames(spark, folder), "degrees", "frame", F.col("time_s"), JOINTS, SPIKES))
+    return settle(spikes.clean_runs(joint_frames(spark, folder), "degrees", "frame", F.col("time_s"), JOINTS, CLEAN))
 
 
 @query(
@@ -340,7 +343,7 @@ def clean_runs(spark, folder):
 )
 def normal_window(spark, folder):
     frames = joint_frames(spark, folder)
-    runs = spikes.clean_runs(frames, "degrees", "frame", F.col("time_s"), JOINTS, SPIKES)
+    runs = spikes.clean_runs(frames, "degrees", "frame", F.col("time_s"), JOINTS, CLEAN)
     return settle(spikes.normal_window(frames, runs, "degrees", "frame", F.col("time_s"), JOINTS, 0.3))
 
 
@@ -450,7 +453,7 @@ def orientation_step(spark, folder):
 )
 def replay_slice(spark, folder):
     chosen = replay.select_frames(robot_frames(spark, folder).rows(), "frame", start=5, end=40, stride=3)
-    return settle(chosen.select("episode", "frame", F.posexplode(F.slice("action", 1, JOINTS)).alias("joint", "target")), 4)
+    return settle(chosen.select("episode", "frame", F.posexplode(F.slice("action", 1, ARMS)).alias("joint", "target")), 4)
 
 
 _CLIP_SQL = f"""WITH {ROBOT_SQL}, c AS (SELECT episode, frame, dimension AS joint, action::DOUBLE AS a, greatest(-0.3::DOUBLE, least(0.3::DOUBLE, action::DOUBLE)) AS cl FROM robot WHERE dimension < 14)"""
@@ -461,7 +464,7 @@ _CLIP_SQL = f"""WITH {ROBOT_SQL}, c AS (SELECT episode, frame, dimension AS join
     f"{_CLIP_SQL} SELECT episode, joint, count(*) AS violations, round(max(abs(degrees(a - cl))), 4) AS max_violation_deg FROM c WHERE abs(a - cl) > 1e-6 GROUP BY ALL",
 )
 def replay_limit_violations(spark, folder):
-    frames = robot_frames(spark, folder).rows().withColumn("targets", F.slice("action", 1, JOINTS).cast("array<double>"))
+    frames = robot_frames(spark, folder).rows().withColumn("targets", F.slice("action", 1, ARMS).cast("array<double>"))
     found = replay.limit_violations(frames, ["episode"], "frame", "targets", F.lit(-0.3), F.lit(0.3))
     return settle(found, 4)
 
@@ -499,6 +502,6 @@ def upsample_hold(spark, folder):
 
 
 def _upsampled(spark, folder, mode):
-    frames = robot_frames(spark, folder).derive({"targets": F.slice("action", 1, JOINTS).cast("array<double>")})
+    frames = robot_frames(spark, folder).derive({"targets": F.slice("action", 1, ARMS).cast("array<double>")})
     dense = replay.upsample(frames, "targets", "frame", "time_s", step_s=0.01, mode=mode)
     return settle(dense.select("episode", "frame", "substep", F.posexplode("target").alias("joint", "target")), 4)

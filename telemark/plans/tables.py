@@ -17,7 +17,10 @@ from telemark.functions.scalar import primary_time
 from telemark.operators.exposure import luminance
 
 FRAME_NS = 33_333_000
-JOINTS = 14
+#: Embeddings have 64 values: so many joints of one frame, or two robots of fourteen joints and two grippers.
+JOINTS = 64
+ARMS = 14
+ROBOT_VALUES = 32
 
 
 @lru_cache(maxsize=256)
@@ -141,7 +144,7 @@ frames AS (
   FROM embeddings),
 cell0 AS (
   SELECT episode, frame, frame / 20.0::DOUBLE AS t, j - 1 AS joint, embedding[j]::DOUBLE AS v
-  FROM frames, generate_series(1, 14) g(j)),
+  FROM frames, generate_series(1, 64) g(j)),
 cell AS (
   SELECT *, lag(v) OVER w AS v1, lag(v, 2) OVER w AS v2, lead(v) OVER w AS vn, lag(t) OVER w AS t1, lag(t, 2) OVER w AS t2
   FROM cell0 WINDOW w AS (PARTITION BY episode, joint ORDER BY frame)),
@@ -155,14 +158,26 @@ kin AS (
 
 def robot_frames(spark: SparkSession, folder: str) -> Track:
     """Converted frames: single-precision state and action of sixteen dimensions."""
-    frames = joint_frames(spark, folder)
+    rows = read(spark, folder, "embeddings").select(
+        F.col("label").cast("string").alias("label"),
+        "vec_id",
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("robot"),
+        F.col("embedding").cast("array<double>").alias("all"),
+    )
+    rows = rows.select(
+        F.concat_ws("-", "label", "robot").alias("episode"),
+        "vec_id",
+        F.slice("all", F.col("robot") * ROBOT_VALUES + 1, F.lit(ROBOT_VALUES)).alias("vector"),
+    )
+    frames = carry(track(rows, ["episode"], ["vec_id"], bound=row_count(spark, folder, "embeddings")), number="frame")
+    frames = frames.derive({"time_s": F.col("frame") / F.lit(20.0), "time_ns": F.col("frame") * F.lit(50_000_000)})
 
     def number(i):
         return F.get(F.col("vector"), F.lit(i))
 
-    state = F.array(*[number(i) for i in range(JOINTS)], *[_grip(number(i)) for i in (28, 29)])
+    state = F.array(*[number(i) for i in range(ARMS)], *[_grip(number(i)) for i in (28, 29)])
     action = F.array(
-        *[number(i) + number(i + JOINTS) * 0.1 for i in range(JOINTS)], *[_grip(number(i)) for i in (30, 31)]
+        *[number(i) + number(i + ARMS) * 0.1 for i in range(ARMS)], *[_grip(number(i)) for i in (30, 31)]
     )
     single = T.ArrayType(T.FloatType())
     return frames.derive({"state": state.cast(single), "action": action.cast(single)})
@@ -174,8 +189,9 @@ def _grip(x: Column) -> Column:
 
 ROBOT_SQL = """
 frames AS (
-  SELECT label AS episode, vec_id, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame
-  FROM embeddings),
+  SELECT label::VARCHAR || '-' || r AS episode, vec_id, embedding[r * 32 + 1:r * 32 + 32] AS embedding,
+         row_number() OVER (PARTITION BY label, r ORDER BY vec_id) - 1 AS frame
+  FROM embeddings, generate_series(0, 1) two(r)),
 robot AS (
   SELECT episode, frame, d - 1 AS dimension,
     CASE WHEN d <= 14 THEN embedding[d]::DOUBLE
@@ -186,7 +202,7 @@ robot AS (
 
 
 def pictures(spark: SparkSession, folder: str) -> Track:
-    """Embeddings as 21-pixel colour frames of one camera per label."""
+    """Embeddings as 22-pixel colour frames of one camera per label; the last pixel repeats the last value."""
     rows = read(spark, folder, "embeddings").select(
         F.col("label").alias("camera"), "vec_id", F.col("embedding").cast("array<double>").alias("e")
     )
@@ -194,9 +210,9 @@ def pictures(spark: SparkSession, folder: str) -> Track:
     line = carry(line, number="frame_index")
 
     def code(i: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(F.col("e"), i) * 1.2 + 0.80))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(F.col("e"), F.least(i, F.lit(63))) * 1.2 + 0.80))
 
-    spots = F.sequence(F.lit(0), F.lit(20))
+    spots = F.sequence(F.lit(0), F.lit(21))
     light = F.transform(spots, lambda i: luminance(code(i * 3), code(i * 3 + 1), code(i * 3 + 2)))
     return line.derive({"light": light})
 
@@ -206,8 +222,8 @@ shots AS (
   SELECT label AS camera, vec_id, embedding AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index
   FROM embeddings),
 codes AS (
-  SELECT camera, frame_index, p, c, greatest(0.0::DOUBLE, least(1.0::DOUBLE, e[p * 3 + c + 1]::DOUBLE * 1.2::DOUBLE + 0.80::DOUBLE)) AS code
-  FROM shots, generate_series(0, 20) g(p), generate_series(0, 2) h(c)),
+  SELECT camera, frame_index, p, c, greatest(0.0::DOUBLE, least(1.0::DOUBLE, e[least(p * 3 + c, 63) + 1]::DOUBLE * 1.2::DOUBLE + 0.80::DOUBLE)) AS code
+  FROM shots, generate_series(0, 21) g(p), generate_series(0, 2) h(c)),
 lin AS (
   SELECT camera, frame_index, p, c, CASE WHEN code <= 0.04045::DOUBLE THEN code / 12.92::DOUBLE
          ELSE pow((code + 0.055::DOUBLE) / 1.055::DOUBLE, 2.4::DOUBLE) END AS y FROM codes),
