@@ -51,7 +51,7 @@ def canonical_joint(name: Column) -> Column:
 
 def episode_number(name: Column, otherwise: Column) -> Column:
     """The number in ``episode_000012``, or the fallback ordinal."""
-    digits = F.nullif(F.regexp_extract(name, "episode_(\\d+)", 1), F.lit(""))
+    digits = F.nullif(F.regexp_extract(name, "^episode_(\\d+)$", 1), F.lit(""))
     return F.coalesce(digits.try_cast("bigint"), otherwise)
 
 

@@ -333,6 +333,8 @@ def repair_spikes(
     joints = rows.filter(F.col("topic") == topic)
     line = track(joints, ["episode"], ["topic_index"])
     _stop_if_any(resample.stream_violations(line, "header_time_ns"), "joint clocks that do not advance")
+    readable = F.col("values").isNotNull() & F.col("names").isNotNull() & ~F.exists("values", lambda x: x.isNull() | ~conversion.is_finite(x))
+    _stop_if_any(joints.filter(~readable).select("episode", "topic_index"), "joint messages that do not decode or are not finite")
     names = joints.groupBy("episode").agg(F.count_distinct("names").alias("orders"), F.first("names").alias("names"))
     _stop_if_any(names.filter(F.col("orders") > 1).select("episode"), "joint names that change")
     seconds = F.col("header_time_ns").cast("double") / F.lit(1e9)

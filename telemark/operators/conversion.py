@@ -100,6 +100,9 @@ def plan_episodes(
     the others are not affected.
     """
     config = config or Conversion()
+    if annotations is not None:  # an excluded episode is not looked at, so its faults stop nothing
+        excluded = annotations.filter(~F.coalesce("include", F.lit(True))).select("episode")
+        messages = messages.join(excluded, "episode", "left_anti")
     wanted = messages.filter(F.col("topic").isin(*contract.REQUIRED_TOPICS)).withColumn("time_ns", converter_time())
     joints = F.when(
         F.col("topic") == contract.FOLLOWER_JOINTS, named_values(contract.FOLLOWER_JOINT_NAMES)

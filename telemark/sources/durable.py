@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a session without one (a local test) gets its own."""
+    """The cluster's checkpoint folder; only a session on one machine may be without one and gets its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="telemark-checkpoint-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
+from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,5 +67,7 @@ def new_run_folder(root: str, label: str) -> str:
     stamp = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%fZ")
     folder = f"{root.rstrip('/')}/{stamp}_{label.replace('/', '__').replace(' ', '_')}"
     system, plain = open_folder(folder)
+    if system.get_file_info(plain).type != FileType.NotFound:
+        raise FileExistsError(folder)
     system.create_dir(plain, recursive=True)
     return folder
