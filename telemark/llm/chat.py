@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from telemark.llm.shared import durable
+
 BUCKET_TURNS = 1024
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
@@ -65,7 +67,7 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 def render(conversations: DataFrame, bucket_turns: int = BUCKET_TURNS) -> DataFrame:
     """conv_id, n_turns, part and rendered text of every maximal conversation of (conv_id, turn, role, text)."""
-    turns = numbered(conversations, bucket_turns)
+    turns = durable(numbered(conversations, bucket_turns), "turns")  # read three times below
     line = F.concat(F.lit(BEGIN), "role", F.lit("\n"), "text", F.lit(END + "\n"))
     chosen = turns.join(maximal(turns), "key").select("key", "conv_id", "n_turns", "bucket", F.struct("place", line.alias("line")).alias("t"))
     parts = chosen.groupBy("key", "conv_id", "n_turns", "bucket").agg(F.array_sort(F.collect_list("t")).alias("ts"))
