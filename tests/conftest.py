@@ -75,11 +75,11 @@ def write_episode(folder: Path, rows, *, files: int = 2, chunk_bytes: int = 4096
     folder.mkdir(parents=True)
     per_file = -(-len(rows) // files)
     for number in range(files):
-        out = mcap_sink.RecordingFile((folder / f"part_{number}.mcap").open("wb"), chunk_bytes)
-        for sequence, (topic, schema, at, payload) in enumerate(rows[number * per_file : (number + 1) * per_file]):
-            channel = out.channel(topic, (schema, "ros2msg", b""), "cdr", {})
-            out.message(channel, sequence, at, at, payload)
-        out.finish()
+        messages = [
+            mcap_sink.Message(topic, (schema, "ros2msg", b""), "cdr", (), sequence, at, at, payload)
+            for sequence, (topic, schema, at, payload) in enumerate(rows[number * per_file : (number + 1) * per_file])
+        ]
+        (folder / f"part_{number}.mcap").write_bytes(b"".join(mcap_sink.recording(messages, chunk_bytes=chunk_bytes)))
 
 
 @pytest.fixture(scope="session")

@@ -74,12 +74,8 @@ def test_write_then_read(spark, tmp_path):
 
 def test_metadata_stands_between_chunks(tmp_path):
     path = tmp_path / "m.mcap"
-    out = mcap_sink.RecordingFile(path.open("wb"))
-    channel = out.channel("/t", ("s", "jsonschema", b"{}"), "json", {})
-    out.message(channel, 0, 1, 1, b"{}")
-    out.metadata("note", {"a": "b"})
-    out.message(channel, 1, 2, 2, b"{}")
-    out.finish()
+    messages = [mcap_sink.Message("/t", ("s", "jsonschema", b"{}"), "json", (), n, n, n, b"{}") for n in range(2)]
+    path.write_bytes(b"".join(mcap_sink.recording(messages, {"note": {"a": "b"}})))
     with path.open("rb") as handle:
         size = path.stat().st_size
         outer = list(mcap.outer_records(handle, str(path), size - 8))
@@ -87,7 +83,7 @@ def test_metadata_stands_between_chunks(tmp_path):
             code
             for kind, at, length in outer
             if kind == mcap.CHUNK
-            for code, _, _ in mcap.records(mcap.chunk_body(handle, str(path), at, length)[0])
+            for code in mcap.Layout(mcap.chunk_body(handle, str(path), at, length)[0]).code.tolist()
         ]
     assert mcap.METADATA in [kind for kind, _, _ in outer] and mcap.METADATA not in inside
 
