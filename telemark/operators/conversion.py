@@ -157,14 +157,15 @@ def plan_episodes(
     rejected = rejections[0]
     for more in rejections[1:]:
         rejected = rejected.unionByName(more)
-    rejected = rejected.distinct()
+    # A union under AQE may coalesce otherwise than the side it is joined with, so it gets a shuffle of its own.
+    rejected = rejected.repartition("episode", "reason")
     frames = training_frames(mappings, config)
     frames = frames.join(rejected.select("episode").distinct(), "episode", "left_anti")
     return EpisodePlan(frames, mappings, residual_report(combined, ["episode", "stream_group"], bound=bound), rejected, grid)
 
 
 def _reason(rows: DataFrame, text: str) -> DataFrame:
-    return rows.select("episode", F.lit(text).alias("reason"))
+    return rows.select("episode", F.lit(text).alias("reason")).distinct()
 
 
 def training_frames(mappings: DataFrame, config: Conversion) -> DataFrame:
