@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The six ASCII white-space characters that separate words, as a Java or RE2 character class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Most tasks that ``dealt`` asks for; beyond that a task takes several rows.
+MAX_TASKS = 50_000
 
 
 def folder(spark: SparkSession) -> str:
@@ -36,6 +38,15 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(ranges: DataFrame, *keys: str) -> DataFrame:
+    """Rows that each stand for much work, a task for each of them up to ``MAX_TASKS``.
+
+    The number is given, as a shuffle of so few bytes would otherwise be coalesced into a single task.
+    ``ranges`` is counted, so it should come from a written table.
+    """
+    return ranges.repartitionByRange(max(1, min(ranges.count(), MAX_TASKS)), *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark import TaskContext
 
 from telemark.llm.files import NewFile, open_input
-from telemark.llm.shared import durable
+from telemark.llm.shared import dealt, durable
 
 FILE_BYTES = 64 << 20
 SPLIT_BYTES = 8 << 20
@@ -132,7 +132,7 @@ def read(files: DataFrame, payload: bool = True, split_bytes: int = SPLIT_BYTES)
                         rows, held = [], 0
                 yield _rows(rows)
 
-    return ranges.repartition("path", "begin").mapInArrow(run, RECORDS)
+    return dealt(ranges, "path", "begin").mapInArrow(run, RECORDS)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
