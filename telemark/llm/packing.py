@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telemark.llm.files import NewFile, open_input
-from telemark.llm.shared import byte_letters, durable, scratch
+from telemark.llm.shared import dealt, byte_letters, durable, scratch
 
 MAGIC = b"TMS8B\x00\x00\x01"
 BLOCK_IDS = 1 << 16
@@ -271,4 +271,4 @@ def read(files: DataFrame, digest: bool = False) -> DataFrame:
                 yield table(rows)
 
     last = "ids_crc32 long" if digest else "ids array<long>"
-    return splits.repartition("path", "first").mapInArrow(run, f"doc_id long, start long, n_tokens long, {last}")
+    return dealt(splits, "path", "first").mapInArrow(run, f"doc_id long, start long, n_tokens long, {last}")
