@@ -20,7 +20,7 @@ if there is none); repeated rows give repeated rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -187,11 +187,11 @@ def near_duplicates(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return prints.join(classes, "fingerprint", "left")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component: that with the smallest id (null ids last; among rows of
-    one id, the smallest hash of the text), whole and unchanged."""
+def representatives(docs: DataFrame, search: Callable[[DataFrame, tuple[str, ...]], DataFrame] = near_duplicates) -> DataFrame:
+    """One row of ``docs`` for each component that ``search`` finds: that with the smallest id (null ids
+    last; among rows of one id, the smallest hash of the text), whole and unchanged."""
     mark = F.xxhash64("text")
-    found = near_duplicates(docs.withColumn("_mark", mark), ("_mark",))
+    found = search(docs.withColumn("_mark", mark), ("_mark",))
     chosen = (
         found.groupBy("group")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_mark")).alias("best"))
