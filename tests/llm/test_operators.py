@@ -374,3 +374,17 @@ def test_near_copies(spark, empty):
     kept = corpus_pipeline.near_duplicates(spark, table, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(map(min, want))
     assert corpus_pipeline.near_duplicates(spark, empty, "").count() == 0
+
+
+def test_pipeline_classifier_rejects(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(k, prose(k, 50) if k % 3 else prose(k, 50).upper(), "en", "src0", 0) for k in range(240)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, int(k % 3 != 0), 0) for k in range(180)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    # the rules have kept all good documents, and of the bad ones only some without a label
+    given = docs.where("doc_id % 3 != 0 or doc_id >= 180")
+    kept = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, given, str(tmp_path)).collect()}
+    bad, good = {k for k in range(180, 240) if k % 3 == 0}, {k for k in range(240) if k % 3}
+    assert len(kept & bad) <= 1 and len(kept & good) >= 0.95 * len(good)
