@@ -2,10 +2,11 @@
 
 Counts of single tokens and of pairs are kept as logarithmic levels: an n-gram of level q is entered
 under the keys (n-gram, 1) to (n-gram, q), and a look-up probes 1, 2, ... until a key is missing.  The
-filter is built in segments by the tasks that hold the counts, and broadcast.  Its size follows from
-the number of training tokens (a bound on the number of distinct pairs) up to ``MAX_BITS``, the proven
-bound of the broadcast; beyond it every n-gram is still entered and only the rate of false levels
-grows, as for any Bloom filter: about (1 - exp(-k e / m))**k for m bits, e entries and k probes.
+filter has ``BITS_PER_ENTRY`` bits for each training token and each distinct one (a bound on the number of
+n-grams) at every size.  It is a table of segments in shared storage, each built by the task that holds
+all counts of the segment: 64 segments, and beyond ``SEGMENT_BITS`` bits a segment as many as it takes.
+Look-ups are shuffled to their segment, distinct within a slice of texts, and their levels shuffled back,
+so that no task and no driver ever holds the filter.
 
 The model is p(w | u) = (c(u, w) + K p(w)) / (c(u) + K) with p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
 which sums to one over all words but for rounding to levels and false levels.
@@ -21,6 +22,7 @@ no training rows N and V are zero, and every token is unknown.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +31,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemark.llm.shared import durable
+from telemark.llm.shared import durable, free_shuffles
 
 BITS_PER_ENTRY = 10
 MIN_BITS = 1 << 16
-MAX_BITS = 1 << 29
 PROBES = 3
 LEVEL_BASE = 1.4
 MAX_LEVEL = 120
 SEGMENTS = 64
+#: Bits of a segment at most; a larger filter has more segments.
+SEGMENT_BITS = 1 << 23
 STRENGTH = 4.0  # K: how many pairs the single-token distribution is worth
 ADDED = 0.1
 #: Tokens whose exact counts are broadcast; all others are joined.
@@ -152,16 +155,16 @@ def places(keys: np.ndarray, levels: np.ndarray | int, segment_bits: int) -> Ite
 
 
 class Filter:
-    """The log-frequency Bloom filter as ``SEGMENTS`` bit arrays; the top bits of a key choose one."""
+    """A log-frequency Bloom filter as ``segments`` bit arrays; the top bits of a key choose one."""
 
-    def __init__(self, bits: np.ndarray, total: int, distinct: int):
-        self.bits, self.total, self.distinct = bits, total, distinct
-        self.segment_bits = len(bits) * 8 // SEGMENTS
+    def __init__(self, bits: np.ndarray, total: int, distinct: int, segments: int = SEGMENTS):
+        self.bits, self.total, self.distinct, self.segments = bits, total, distinct, segments
+        self.segment_bits = len(bits) * 8 // segments
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         active = np.arange(len(keys))
-        base = segment_of(keys).astype(np.uint64) * np.uint64(self.segment_bits)
+        base = segment_of(keys, self.segments).astype(np.uint64) * np.uint64(self.segment_bits)
         for q in range(1, MAX_LEVEL + 1):
             alive, start = keys[active], base[active]
             there = np.ones(len(active), bool)
@@ -177,25 +180,29 @@ class Filter:
             out[active] = q
         return out
 
-    def scores(self, single: np.ndarray, at: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each text; ``single`` are the distinct tokens and ``at`` each token's place there."""
-        if not len(tokens):
-            return np.zeros(len(bounds) - 1)
-        counts = level_value(self.levels(single))
-        alone = ((counts + ADDED) / (self.total + ADDED * (self.distinct + 1)))[at]
-        # a start is as frequent as an end, and any other context as frequent as its token
-        context_counts = np.concatenate(([0.0], counts[at[:-1]]))
-        context_counts[bounds[:-1]] = counts[at[bounds[1:] - 1]]
-        pairs = np.minimum(level_value(self.levels(pair(contexts(tokens, bounds), tokens))), context_counts)
-        chances = (pairs + STRENGTH * alone) / (context_counts + STRENGTH)
-        return np.add.reduceat(np.log10(chances), bounds[:-1])
 
+def text_score(counts: np.ndarray, pairs: np.ndarray, total: int, distinct: int) -> float:
+    """log10 probability of a text from the counts of its tokens and of the pairs that they end."""
+    alone = (counts + ADDED) / (total + ADDED * (distinct + 1))
+    # a start is as frequent as an end, and any other context as frequent as its token
+    context_counts = np.concatenate((counts[-1:], counts[:-1]))
+    chances = (np.minimum(pairs, context_counts) + STRENGTH * alone) / (context_counts + STRENGTH)
+    return float(np.log10(chances).sum())
 
-def segment_of(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(64 - SEGMENTS.bit_length() + 1)).astype(np.int64)
 
+def segment_of(keys: np.ndarray, segments: int = SEGMENTS) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
-def _segments(segment_bits: int):
+
+def layout(entries: int, segment_bits: int = SEGMENT_BITS) -> tuple[int, int]:
+    """Number of segments and bits of each: ``BITS_PER_ENTRY`` or more for each entry, whatever their number."""
+    bits = MIN_BITS // SEGMENTS
+    while bits < segment_bits and bits * SEGMENTS < BITS_PER_ENTRY * entries:
+        bits *= 2
+    return max(SEGMENTS, -(-BITS_PER_ENTRY * entries // bits)), bits
+
+
+def _segments(segment_bits: int, segments: int = SEGMENTS):
     """Bit arrays of the segments that a task holds all counts of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +210,7 @@ def _segments(segment_bits: int):
         for batch in batches:
             keys = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
             levels = level(batch.column("n").to_numpy(zero_copy_only=False))
-            owner = segment_of(keys)
+            owner = segment_of(keys, segments)
             for number in np.unique(owner).tolist():
                 bits = made.setdefault(number, np.zeros(segment_bits // 8, np.uint8))
                 mine, deep = keys[owner == number], levels[owner == number]
@@ -219,72 +226,132 @@ def _segments(segment_bits: int):
     return run
 
 
-def train(docs: DataFrame) -> tuple[Filter, DataFrame]:
-    """The filter of single tokens and pairs of all ``docs``, and the exact counts of single tokens (h, n)."""
+def train(docs: DataFrame, segment_bits: int = SEGMENT_BITS) -> tuple[DataFrame, int, DataFrame, int, int]:
+    """The segments (segment, bits) of the filter of all ``docs`` and their number, the exact counts of single
+    tokens (h, n), and the number of tokens and of distinct ones."""
     single = durable(docs.select("text").mapInArrow(_counter(False), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "counts")
     total, distinct = single.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    size = MIN_BITS
-    while size < min(MAX_BITS, BITS_PER_ENTRY * (total + distinct)):
-        size *= 2
-    segment_bits = size // SEGMENTS
-    key = F.shiftrightunsigned("h", 64 - SEGMENTS.bit_length() + 1).cast("int")
+    segments, bits = layout(total + distinct, segment_bits)
     pairs = docs.select("text").mapInArrow(_counter(True), "h long, n long")
-    counted = pairs.withColumn("segment", key).repartition("segment").groupBy("segment", "h").agg(F.sum("n").alias("n"))
-    singles = single.withColumn("segment", key).repartition("segment").select("segment", "h", "n")
-    # each side's tasks hold whole segments; the two bit arrays of a segment are joined by "or"
-    bits = np.zeros(size // 8, np.uint8)
-    for part in (counted, singles):
-        for row in part.select("h", "n").mapInArrow(_segments(segment_bits), "segment int, bits binary").toLocalIterator():
-            at = row.segment * (segment_bits // 8)
-            bits[at : at + segment_bits // 8] |= np.frombuffer(row.bits, np.uint8)
-    return Filter(bits, total, distinct), single
-
-
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
+    number = F.shiftright(F.shiftrightunsigned("h", 32) * F.lit(segments).cast("long"), 32).cast("int")
+    counted = pairs.unionByName(single).withColumn("segment", number).repartition("segment").groupBy("segment", "h").agg(F.sum("n").alias("n"))
+    return durable(counted.select("h", "n").mapInArrow(_segments(bits, segments), "segment int, bits binary"), "segments"), segments, single, total, distinct
+
+
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels of the keys in each row; rows come sorted by segment, each segment's bits before its keys."""
+    number, filter_ = None, None
+    for batch in batches:
+        owners, slices, raws = (batch.column(n).to_pylist() for n in ("segment", "slice", "data"))
+        at = 0
+        while at < len(owners):
+            if owners[at] != number:
+                number, filter_ = owners[at], None
+            if slices[at] is None:
+                filter_ = Filter(np.frombuffer(raws[at], np.uint8), 0, 0, 1)
+                at += 1
+                continue
+            end = at
+            while end < len(owners) and owners[end] == number:
+                end += 1
+            keys = [np.frombuffer(r, "<u8") for r in raws[at:end]]
+            found = filter_.levels(np.concatenate(keys)) if filter_ else np.zeros(sum(map(len, keys)), np.int64)  # no bits: nothing entered
+            parts = np.split(found.astype(np.uint8), np.cumsum([len(k) for k in keys])[:-1])
+            yield pa.RecordBatch.from_pydict({"slice": pa.array(slices[at:end], pa.binary()), "segment": pa.array(owners[at:end], pa.int32()), "data": pa.array([x.tobytes() for x in parts], pa.binary())})
+            at = end
+
+
+def score(docs: DataFrame, held_out: Column, segment_bits: int = SEGMENT_BITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     spark = docs.sparkSession
-    filter_, counts = train(docs.where(~held_out))
-    total, distinct = filter_.total, filter_.distinct
-    raw = filter_.bits.tobytes()
-    del filter_  # one copy at a time in the driver
-    shared = spark.sparkContext.broadcast(raw)
-    del raw
+    filter_, segments, counts, total, distinct = train(docs.where(~held_out), segment_bits)
+    free_shuffles(spark)
     top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
     top_keys, top_counts = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(top_keys)
     frequent = spark.sparkContext.broadcast((top_keys[order], top_counts[order]))
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tokens = Filter(np.frombuffer(shared.value, np.uint8), total, distinct), Tokens()
+    own = f"doc_id {kind}, held_out boolean, n_tokens long, n_frequent long, frequent_score double, mark binary, rest array<long>, rest_n array<long>"
+    kept = [c.split()[0] for c in own.split(", ")]
+    asked = f"{own}, slice binary, segment int, data binary"
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, with the places of its tokens and pairs among the slice's distinct keys; and
+        a row for each segment, with the slice's keys in it."""
+        tokens = Tokens()
         keys, known_counts = frequent.value
         for batch in _slices(batches, 1024):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             found, bounds = tokens.of(texts)
+            if not len(texts):
+                continue
             at, single = pd.factorize(found)
-            scores = model.scores(single, at, found, bounds)
             near = np.minimum(np.searchsorted(keys, single), max(len(keys) - 1, 0))
             single_hit = keys[near] == single if len(keys) else np.zeros(len(single), bool)
             single_logs = np.where(single_hit, np.log10((known_counts[near] + ADDED) / (total + ADDED * (distinct + 1))) if len(keys) else 0.0, 0.0)
             hit, logs = single_hit[at], single_logs[at]
-            rest, rest_n = [], []
+            probes, where = np.unique(np.concatenate((single, pair(contexts(found, bounds), found))), return_inverse=True)
+            width = 3 if len(probes) < 1 << 24 else 4
+            where = np.ascontiguousarray(where.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width])
+            singles, pairs = where[: len(single)][at], where[len(single) :]
+            rest, rest_n, codes = [], [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 other, n = np.unique(found[a:b][~hit[a:b]], return_counts=True)
                 rest.append(other.view(np.int64))
                 rest_n.append(n)
+                codes.append(singles[a:b].tobytes() + pairs[a:b].tobytes())
             marks = [xxhash.xxh3_128_digest(t or b"") for t in texts]
+            name = uuid.uuid4().bytes
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("held_out"),
                     pa.array(np.diff(bounds)), pa.array(np.add.reduceat(hit.astype(np.int64), bounds[:-1])),
-                    pa.array(np.add.reduceat(logs, bounds[:-1])), pa.array(scores), pa.array(marks, pa.binary()),
+                    pa.array(np.add.reduceat(logs, bounds[:-1])), pa.array(marks, pa.binary()),
                     pa.array(rest, pa.list_(pa.int64())), pa.array(rest_n, pa.list_(pa.int64())),
+                    pa.array([name] * len(texts), pa.binary()), pa.nulls(len(texts), pa.int32()), pa.array(codes, pa.binary()),
                 ],
-                ["doc_id", "held_out", "n_tokens", "n_frequent", "frequent_score", "score", "mark", "rest", "rest_n"],
+                [*kept, "slice", "segment", "data"],
             )
+            owner = segment_of(probes, segments)  # ascending, as the keys are
+            numbers, starts = np.unique(owner, return_index=True)
+            parts = [p.astype("<u8").tobytes() for p in np.split(probes, starts[1:])]
+            empty = [pa.nulls(len(parts), batch.schema.field("doc_id").type), pa.nulls(len(parts), pa.bool_()), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64())]
+            empty += [pa.nulls(len(parts), pa.float64()), pa.nulls(len(parts), pa.binary()), *[pa.nulls(len(parts), pa.list_(pa.int64()))] * 2]
+            yield pa.RecordBatch.from_arrays(
+                [*empty, pa.array([name] * len(parts), pa.binary()), pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], [*kept, "slice", "segment", "data"]
+            )
 
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_frequent long, frequent_score double, score double, mark binary, rest array<long>, rest_n array<long>"
-    scored = durable(docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, schema), "scores")
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scores; a slice's levels come before its texts, sorted by segment as the slice's keys are."""
+        name, parts, values = None, [], np.empty(0)
+        for batch in batches:
+            scores, rows = [], []
+            columns = (batch.column(n).to_pylist() for n in ("slice", "segment", "data", "n_tokens"))
+            for at, (of, segment, raw, n_tokens) in enumerate(zip(*columns)):
+                if of != name:
+                    name, parts, values = of, [], None
+                if segment is not None:
+                    parts.append(raw)
+                    continue
+                if values is None:
+                    values = level_value(np.frombuffer(b"".join(parts), np.uint8).astype(np.int64))
+                codes = np.frombuffer(raw, np.uint8).reshape(2 * n_tokens, -1)
+                counts = values[np.pad(codes, ((0, 0), (0, 4 - codes.shape[1]))).view("<u4").ravel()]
+                scores.append(text_score(counts[:n_tokens], counts[n_tokens:], total, distinct))
+                rows.append(at)
+            texts = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(texts.column(c) for c in kept), pa.array(scores, pa.float64())], [*kept, "score"])
+
+    probes = durable(docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(ask, asked), "probes")
+    keys = probes.where("segment is not null").select("segment", "slice", "data")
+    bits = filter_.select("segment", F.lit(None).cast("binary").alias("slice"), F.col("bits").alias("data"))
+    placed = bits.unionByName(keys).repartition("segment").sortWithinPartitions("segment", F.asc_nulls_first("slice"))
+    levels = durable(placed.mapInArrow(_look_up, "slice binary, segment int, data binary"), "levels")
+    del placed
+    free_shuffles(spark)
+    texts = probes.where("segment is null").unionByName(levels, allowMissingColumns=True)
+    texts = texts.repartition("slice").sortWithinPartitions("slice", F.asc_nulls_last("segment"))
+    scored = durable(texts.mapInArrow(answer, f"{own}, score double"), "scores")
     return _with_rest(scored, counts, total, distinct)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -38,6 +39,12 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished steps; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def dealt(ranges: DataFrame, *keys: str) -> DataFrame:
     """Rows that each stand for much work, a task for each of them up to ``MAX_TASKS``.
 

@@ -388,3 +388,28 @@ def test_pipeline_classifier_rejects(spark, tmp_path):
     kept = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, given, str(tmp_path)).collect()}
     bad, good = {k for k in range(180, 240) if k % 3 == 0}, {k for k in range(240) if k % 3}
     assert len(kept & bad) <= 1 and len(kept & good) >= 0.95 * len(good)
+
+
+def test_language_model_score_at_any_size(spark):
+    """Scores of a filter of many segments against exact counts, and bits for every entry at 30 GB."""
+    rows = [(k, prose(k % 40, 30) + " " + prose(500 + k, 20)) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = [[*t.split(), None] for k, t in rows if k % 10]
+    counts = Counter(w for t in learned for w in t)
+    pairs = Counter(p for t in learned for p in zip(["start", *t], t))
+    total, distinct = sum(counts.values()), len(counts)
+    value = lambda n: float(bloom_lm.level_value(bloom_lm.level(np.array([n])))[0]) if n else 0.0
+    got = {r.doc_id: r.score for r in bloom_lm.score(docs, F.col("doc_id") % 10 == 0, segment_bits=1 << 8).collect()}
+    assert bloom_lm.layout(total + distinct, 1 << 8)[0] > bloom_lm.SEGMENTS and len(got) == len(rows)
+    off = []
+    for k, t in rows:
+        want, own = 0.0, [*t.split(), None]
+        for u, w in zip(["start", *own], own):
+            n = value(counts[None if u == "start" else u])
+            alone = (value(counts[w]) + 0.1) / (total + 0.1 * (distinct + 1))
+            want += math.log10((min(value(pairs[u, w]), n) + 4 * alone) / (n + 4))
+        off.append(abs(got[k] - want) / abs(want))
+    assert np.mean(off) < 0.1
+    for entries in (10**3, 10**8, 8 * 10**9):
+        segments, bits = bloom_lm.layout(entries)
+        assert segments * bits >= bloom_lm.BITS_PER_ENTRY * entries and bits <= bloom_lm.SEGMENT_BITS
