@@ -4,8 +4,9 @@ Test items are partitioned by their number of shingles into classes of a factor
 of at most ``u`` shingles a document is seen as windows of ``2u`` shingles, one every ``u``, so any
 run of ``u`` shingles lies whole in a window and a contained item has a Jaccard similarity of at
 least 0.19 with it.  Each of 64 bands is one minimum, so a window that holds 80 percent of an item
-collides in some band with probability 1 - 1e-6 or more.  A collision only proposes a pair; whether
-it counts is decided by exact containment of the item's distinct shingles in the whole document.
+collides in some band with probability 1 - 1e-6 or more.  Items of fewer than ``FEW`` shingles would be
+too small a part of the smallest windows: any one of their shingles proposes them.  A collision only
+proposes a pair; whether it counts is decided by exact containment of the item's distinct shingles in the whole document.
 
 The test items are a stated query set: they are taken in blocks of bounded size, and each block is
 broadcast to one pass over all documents.  Documents are never shuffled, so hot sources, copies and
@@ -30,6 +31,8 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 64
 SMALLEST_CLASS = 16
+#: Items of fewer shingles are looked up by every shingle.
+FEW = 4
 #: Characters of test items that are broadcast at once.
 BLOCK_CHARS = 2_000_000
 CACHED_WORDS = 200_000
@@ -89,7 +92,7 @@ class Index:
     """The tables of one block of test items: for each size class a sorted array of band keys."""
 
     def __init__(self, items: list[tuple[object, str | None]]):
-        self.ids, self.shingles, groups = [], [], {}
+        self.ids, self.shingles, groups, few = [], [], {}, []
         for item_id, text in items:
             words = split(text)
             shingles = {" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
@@ -99,9 +102,14 @@ class Index:
             while size < len(shingles):
                 size *= 2
             hashes = np.unique(shingle_hashes(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)))
-            groups.setdefault(size, []).append((len(self.ids), _part_minima(hashes) ^ band_marks()))
+            if len(shingles) < FEW:
+                few += [(h, len(self.ids)) for h in hashes.tolist()]
+            else:
+                groups.setdefault(size, []).append((len(self.ids), _part_minima(hashes) ^ band_marks()))
             self.ids.append(item_id)
             self.shingles.append(frozenset(shingles))
+        few.sort()
+        self.few = (np.array([h for h, _ in few], np.uint64), [k for _, k in few])
         self.largest = max(groups, default=0)
         self.tables = {}
         for size, members in groups.items():
@@ -114,7 +122,14 @@ class Index:
 
     def candidates(self, hashes: np.ndarray) -> set[int]:
         found: set[int] = set()
-        if not len(hashes) or not self.tables:
+        if not len(hashes):
+            return found
+        keys, owner = self.few
+        if len(keys):
+            low, high = np.searchsorted(keys, hashes, "left"), np.searchsorted(keys, hashes, "right")
+            for a, b in set(zip(low[high > low].tolist(), high[high > low].tolist())):
+                found.update(owner[a:b])
+        if not self.tables:
             return found
         for size, values in minima(hashes, self.largest).items():
             if size not in self.tables:

@@ -413,3 +413,10 @@ def test_language_model_score_at_any_size(spark):
     for entries in (10**3, 10**8, 8 * 10**9):
         segments, bits = bloom_lm.layout(entries)
         assert segments * bits >= bloom_lm.BITS_PER_ENTRY * entries and bits <= bloom_lm.SEGMENT_BITS
+
+
+def test_contamination_finds_the_shortest_items(spark):
+    items = [(k, prose(7000 + k, 5 + k % 2)) for k in range(200)]
+    texts = [(k, " ".join([prose(8000 + k, 100 + k), t, prose(9000 + k, 220 - k)])) for k, t in items]
+    found = contamination.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k) for k, _ in items}
