@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from telemark.llm import bloom_lm, bpe, chat, classifier, contamination, licences, packing, rules, simhash, warc
+from telemark.llm import bloom_lm, bpe, chat, classifier, contamination, infill, licences, negatives, packing, rules, simhash, warc
 from telemark.llm.shared import crc32_mod, scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -74,6 +74,16 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(table(spark, sf_dir, "documents"))
+    digest = {"output_sha256": F.col("output"), "restored_sha256": infill.restored(F.col("output"), F.col("form"))}
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(F.sha2(c.cast("binary"), 256).alias(name) for name, c in digest.items()))
+
+
 QUERIES = {
     "op1_warc": warc_round_trip,
     "op2_quality_rules": quality_rules,
@@ -85,6 +95,8 @@ QUERIES = {
     "op8_language_model": language_model,
     "op9_chat_format": chat_format,
     "op10_quality_classifier": quality_classifier,
+    "op12_hard_negatives": hard_negatives,
+    "op13_fill_in_middle": fill_in_middle,
 }
 
 ORACLES = {
@@ -126,4 +138,45 @@ ORACLES = {
                string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS rendered
         FROM placed JOIN alive USING (conv_id) GROUP BY conv_id, coalesce(CAST(floor(turn / 1024) AS BIGINT), -1)
     """,
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+            FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 5
+    """,
+    "op13_fill_in_middle": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, CAST(('0x' || substr(d, 1, 8)) AS UBIGINT) % (length(text) + 1) AS x,
+                   CAST(('0x' || substr(d, 9, 8)) AS UBIGINT) % (length(text) + 1) AS y,
+                   CAST(('0x' || substr(d, 17, 8)) AS UBIGINT) % 100 AS h3, CAST(('0x' || substr(d, 25, 8)) AS UBIGINT) % 100 AS h4
+            FROM texts
+        ), formed AS (
+            SELECT doc_id, text, n, CAST(least(x, y) AS BIGINT) AS a, CAST(greatest(x, y) AS BIGINT) AS b,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+                        WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), pieces AS (
+            SELECT *, substr(text, 1, a) AS p, substr(text, a + 1, b - a) AS m, substr(text, b + 1) AS s FROM formed
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM pieces
+    """,
 }
