@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from telemark.llm import bloom_lm, bpe, chat, classifier, contamination, infill, licences, negatives, packing, rules, simhash, warc
+from telemark.llm import bloom_lm, bpe, chat, classifier, contamination, infill, licences, negatives, packing, pagetext, rules, simhash, warc
 from telemark.llm.shared import crc32_mod, scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -74,6 +74,10 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
 def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +99,7 @@ QUERIES = {
     "op8_language_model": language_model,
     "op9_chat_format": chat_format,
     "op10_quality_classifier": quality_classifier,
+    "op11_page_text": page_text,
     "op12_hard_negatives": hard_negatives,
     "op13_fill_in_middle": fill_in_middle,
 }
