@@ -12,8 +12,8 @@ ranges of (id, hash), so one repeated id does not fill a task.  A null text has
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,7 +35,9 @@ CACHED_WORDS = 400_000
 SHAPES = [(1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8), (8, 7), (10, 6), (12, 5), (15, 4), (20, 3), (30, 2), (60, 1)]
 ZEROS, ESCAPE, FIRST = 0, 1, 2
 RUN = 240
-_MARK = re.compile(rb"(?<=[a-z])(?=[.,!?;:*#$%&|])")
+#: Largest id of each class: zero, then the widths of SHAPES.
+_LIMITS = np.array([0, *((1 << bits) - 1 for bits, _ in SHAPES)], np.uint64)
+_SPACE, _LETTER, _MARKS = (np.isin(np.arange(256), list(some)) for some in (b" \t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz", b".,!?;:*#$%&|"))
 
 
 def pack(ids: np.ndarray) -> np.ndarray:
@@ -44,25 +46,36 @@ def pack(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     if not n:
         return np.empty(0, np.uint64)
-    places = np.arange(n, dtype=np.int64)
-
-    def until(bad: np.ndarray) -> np.ndarray:
-        """For each position, the next one at or after it that is ``bad`` (behind the end: none)."""
-        at = np.where(bad, places, np.int64(n + RUN))
-        return np.minimum.accumulate(at[::-1])[::-1]
-
-    take, chosen = np.zeros(n, np.int64), np.full(n, ESCAPE, np.int64)
+    # the first selector whose width holds an id; a run of RUN zeros has a class of its own
+    need = np.searchsorted(_LIMITS, ids, "left").astype(np.uint8)
+    widest = {1: need}
+    size = 1
+    while 2 * size <= RUN:
+        low = widest[size]
+        widest[2 * size] = np.maximum(low[:-size], low[size:]) if len(low) > size else low[:0]
+        size *= 2
+
+    def fits(count: int, most: int) -> np.ndarray:
+        """Whether the ``count`` ids from each place on need class ``most`` at most."""
+        out = np.zeros(n, bool)
+        if count <= n:
+            size = 1 << count.bit_length() - 1
+            low = widest[size]
+            out[: n - count + 1] = np.maximum(low[: n - count + 1], low[count - size : n - size + 1]) <= most
+        return out
+
+    take, chosen = np.ones(n, np.int64), np.full(n, ESCAPE, np.int64)
     for k in range(len(SHAPES) - 1, -1, -1):  # from few wide ids to many narrow ones: later choices hold more
-        bits, count = SHAPES[k]
-        fits = until(ids >> np.uint64(bits) != 0) - places >= count
-        take[fits], chosen[fits] = count, FIRST + k
-    run = until(ids != 0) - places >= RUN
-    take[run], chosen[run] = RUN, ZEROS
-    take[chosen == ESCAPE] = 1
-    steps, starts, at = take.tolist(), [], 0
+        good = fits(SHAPES[k][1], k + 1)
+        np.copyto(take, SHAPES[k][1], where=good)
+        np.copyto(chosen, FIRST + k, where=good)
+    good = fits(RUN, 0)
+    np.copyto(take, RUN, where=good)
+    np.copyto(chosen, ZEROS, where=good)
+    following, starts, at = (take + np.arange(n)).tolist(), [], 0
     while at < n:
         starts.append(at)
-        at += steps[at]
+        at = following[at]
     starts = np.array(starts, np.int64)
     selectors = chosen[starts]
     words = selectors.astype(np.uint64) << np.uint64(60)
@@ -160,13 +173,101 @@ def read_file(path: str, first: int, last: int) -> Iterator[tuple[int | None, in
                 yield None if nulls[i] else int(docs[i]), int(starts[i]), ids[begin : begin + int(lengths[i])]
 
 
+class Merges:
+    """Byte-pair merges of many words at once.
+
+    A word is a row of symbols.  In each round every word merges its pair of least rank, the leftmost
+    among equals, until no word has a pair that merges.
+    """
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, first: np.ndarray, last: np.ndarray, pairs: np.ndarray, ranks: np.ndarray, made: np.ndarray):
+        self.first, self.last, self.pairs, self.ranks, self.made = first, last, pairs, ranks, made
+
+    @staticmethod
+    def tables(path: str) -> tuple[np.ndarray, ...]:
+        """Symbols of the bytes (inside a word, and at its end), and the merges sorted by pair."""
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        if model["type"] != "BPE" or model.get("continuing_subword_prefix") or model.get("dropout") or model.get("ignore_merges"):
+            raise ValueError("plain byte-pair merges are needed")
+        vocabulary, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        letters = byte_letters()
+        first = np.array([vocabulary.get(letters.get(b, chr(b)), -1) for b in range(256)], np.int64)
+        last = np.array([vocabulary.get(letters.get(b, chr(b)) + suffix, -1) for b in range(256)], np.int64)
+        split = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        pairs = np.array([vocabulary[a] << 32 | vocabulary[b] for a, b in split], np.int64)
+        made = np.array([vocabulary[a + b] for a, b in split], np.int64)
+        order = np.argsort(pairs, kind="stable")
+        return first, last, pairs[order], order.astype(np.int32), made[order]
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of each pair (``NONE``: there is none), and its place in the tables."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == keys) & (right >= 0), self.ranks[at], self.NONE), at
+
+    def _merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of ``words``, of like length, as bytes of unsigned 32-bit numbers."""
+        lengths = np.array([len(w) for w in words])
+        width = int(lengths.max())
+        raw = np.frombuffer(b"".join(w.ljust(width) for w in words), np.uint8).reshape(-1, width)
+        column = np.arange(width)
+        ids = np.where(column < lengths[:, None] - 1, self.first[raw], np.where(column == lengths[:, None] - 1, self.last[raw], -1))
+        ids = np.concatenate((ids, np.full((len(words), 1), -1)), 1)
+        out = ids.copy()
+        rank, place = self._find(ids[:, :-1], ids[:, 1:])
+        rows = np.arange(len(words))
+        while len(rows):
+            at = rank.argmin(1)
+            every = np.arange(len(rows))
+            going = rank[every, at] < self.NONE
+            if not going.all():
+                out[rows[~going], : ids.shape[1]] = ids[~going]
+                out[rows[~going], ids.shape[1] :] = -1
+                rows, ids, rank, place, at = rows[going], ids[going], rank[going], place[going], at[going]
+                every = every[: len(rows)]
+                if not len(rows):
+                    break
+            made = self.made[place[every, at]]
+            # what is behind the pair moves up by one
+            column = np.arange(ids.shape[1] - 1)
+            source = column + (column > at[:, None])
+            ids = np.take_along_axis(ids, source, 1)
+            ids[every, at] = made
+            source = source[:, : rank.shape[1] - 1]
+            rank, place = np.take_along_axis(rank, source, 1), np.take_along_axis(place, source, 1)
+            if not rank.shape[1]:
+                out[rows, : ids.shape[1]] = ids
+                out[rows, ids.shape[1] :] = -1
+                break
+            for left in (at - 1, at):
+                on = np.flatnonzero((left >= 0) & (left < rank.shape[1]))
+                rank[on, left[on]], place[on, left[on]] = self._find(ids[on, left[on]], ids[on, left[on] + 1])
+        counts = (out >= 0).sum(1)
+        flat = out[out >= 0].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(counts)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """(word, ids) of all words; words of like length are merged together."""
+        by_size: dict[int, list[bytes]] = {}
+        for word in words:
+            by_size.setdefault(-(-len(word) // 4), []).append(word)
+        for some in by_size.values():
+            yield from zip(some, self._merge(some))
+
+
 class Encoder:
     """The tokenizers library over words, each encoded once per task.
 
-    The file's tokenizer drops white space and never looks across it, so words are independent.
+    The file's tokenizer drops white space and never looks across it, so words are independent.  Words of
+    letters alone are one split: their byte-pair merges are made for all of them at once.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, merges: Merges):
+        self.merges = merges
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
@@ -179,45 +280,73 @@ class Encoder:
             raise ValueError("a tokenizer that drops white space is needed")
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
-        self.letters = byte_letters()
-
-    def cut(self, text: bytes | None) -> list[bytes]:
-        """Words in lower case, parted from the marks behind them, where the tokenizer always splits."""
-        text = text or b""
-        if b"<|" in text:  # perhaps a special token, which is matched before any change of case
-            return text.split()
-        return _MARK.sub(b" ", text.lower()).split()
 
-    def encode_many(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        cut = [self.cut(t) for t in texts]
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of ``words``, as bytes; short words are kept for later."""
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known, later = self.known, {}
-        fresh = []
-        for word in set().union(*cut).difference(known):
-            plain = word.decode()
-            # letters in their normal form are one split: the merges alone are asked for
-            if plain.isalpha() and plain == plain.lower() and unicodedata.is_normalized("NFC", plain) and len(word) <= 64:
-                mapped = word.decode("latin-1").translate(self.letters)
-                known[word] = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
-            else:
-                fresh.append(word)
+        fresh, plain = [], []
+        for word in words:
+            if word in known:
+                continue
+            if len(word) <= 64 and word.isalpha() and word.islower():  # ASCII letters
+                plain.append(word)
+                continue
+            letters = word.decode()
+            normal = len(word) <= 64 and letters.isalpha() and letters == letters.lower() and unicodedata.is_normalized("NFC", letters)
+            (plain if normal else fresh).append(word)
+        known.update(self.merges.encode(plain))
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
                 (known if len(word) <= 64 else later)[word] = np.array(found.ids, "<u4").tobytes()
-        if later:
-            known = known | later
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)) + self.end, "<u4") for words in cut]
+        return known | later if later else known
+
+    def encode_many(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of each text, with the end id.
+
+        Words are told apart by columns of bytes: white space parts them, and the tokenizer always splits
+        between a letter and a mark behind it.  Equal words of the texts are encoded once.
+        """
+        texts = [t or b"" for t in texts]
+        # perhaps a special token, which is matched before any change of case
+        special = {k: t.split() for k, t in enumerate(texts) if b"<|" in t}
+        lowered = [b"" if k in special else t.lower() for k, t in enumerate(texts)]
+        raw = np.frombuffer(b"\n".join([*lowered, b""]), np.uint8)
+        letter = ~_SPACE[raw]
+        begins = letter.copy()
+        begins[1:] &= _SPACE[raw[:-1]] | (_LETTER[raw[:-1]] & _MARKS[raw[1:]])
+        starts = np.flatnonzero(begins)
+        packed = raw[letter]
+        offsets = np.append((np.cumsum(letter) - letter)[starts], len(packed)).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known = self._learn([*distinct, *{w for ws in special.values() for w in ws}])
+        parts = [*map(known.__getitem__, distinct), self.end]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        ends = np.cumsum([len(t) + 1 for t in lowered])
+        stops = np.searchsorted(starts, ends)  # words of all texts so far
+        codes = np.insert(words.indices.to_numpy().astype(np.int64), stops, len(distinct))
+        counts = sizes[codes]
+        behind = np.cumsum(counts)
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[codes] - (behind - counts), counts) + np.arange(behind[-1] if len(behind) else 0)]
+        last = behind[stops + np.arange(len(stops))]
+        out = np.split(ids, last[:-1]) if len(texts) else []
+        for k, own in special.items():
+            out[k] = np.frombuffer(b"".join([*map(known.__getitem__, own), self.end]), "<u4")
+        return out
 
 
 def write(docs: DataFrame, path: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Encode and write ``docs`` (doc_id, text); returns the files in order: part, number, path, n_ids, n_blocks."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "tokens")
+    tables = spark.sparkContext.broadcast(Merges.tables(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, out, encoder = TaskContext.get().partitionId(), 0, None, Encoder(path, end_id)
+        part, number, out, encoder = TaskContext.get().partitionId(), 0, None, Encoder(path, end_id, Merges(*tables.value))
 
         def finished() -> pa.RecordBatch:
             out.close()
