@@ -1,12 +1,13 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counts of single tokens and of pairs are kept as logarithmic levels: an n-gram of level q is entered
-under the keys (n-gram, 1) to (n-gram, q), and a look-up probes 1, 2, ... until a key is missing.  The
-filter has ``BITS_PER_ENTRY`` bits for each training token and each distinct one (a bound on the number of
-n-grams) at every size.  It is a table of segments in shared storage, each built by the task that holds
-all counts of the segment: 64 segments, and beyond ``SEGMENT_BITS`` bits a segment as many as it takes.
-Look-ups are shuffled to their segment, distinct within a slice of texts, and their levels shuffled back,
-so that no task and no driver ever holds the filter.
+under the keys (n-gram, 1) to (n-gram, q), and a look-up probes 1, 2, ... until a key is missing.  A level
+is never above the count that it stands for, so the filter has ``BITS_PER_ENTRY`` bits or more for each
+entry at every size.  It is a table of segments in shared storage, each built by the task that holds all
+counts of the segment.  Segments are broadcast to the workers in blocks of ``BLOCK_SEGMENTS``, a bounded
+number of bytes; each block is probed with the n-grams of the texts that fall into it, which lie in a
+folder of its own, and what is shuffled back are levels of one byte.  So every n-gram is looked up once
+at any size of the filter.
 
 The model is p(w | u) = (c(u, w) + K p(w)) / (c(u) + K) with p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
 which sums to one over all words but for rounding to levels and false levels.
@@ -29,9 +30,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemark.llm.shared import durable, free_shuffles
+from telemark.llm.shared import durable, free_shuffles, remove, scratch
 
 BITS_PER_ENTRY = 10
 MIN_BITS = 1 << 16
@@ -41,17 +43,25 @@ MAX_LEVEL = 120
 SEGMENTS = 64
 #: Bits of a segment at most; a larger filter has more segments.
 SEGMENT_BITS = 1 << 23
+#: Segments that are broadcast at once: 64 MB at most.
+BLOCK_SEGMENTS = 64
+#: Tokens whose look-ups travel together.
+FRAME = 1 << 18
 STRENGTH = 4.0  # K: how many pairs the single-token distribution is worth
 ADDED = 0.1
 #: Tokens whose exact counts are broadcast; all others are joined.
 FREQUENT = 1 << 18
-CACHED_WORDS = 400_000
 
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word contains white space
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 START = np.uint64(xxhash.xxh64_intdigest(b" start"))
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
+#: What of a hash is used in the filter: 48 bits, so that a look-up takes six bytes.
+KEPT = np.uint64(0xFFFFFFFFFFFF0000)
+
+
 def mix(value: np.ndarray) -> np.ndarray:
     value = (value ^ (value >> np.uint64(31))) * _B
     value = (value ^ (value >> np.uint64(29))) * _C
@@ -62,28 +72,29 @@ def pair(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(context * _A + token)
 
 
-class Tokens:
-    """Token hashes of texts; words are hashed once per task."""
+_LETTERS = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def __init__(self):
-        class Known(dict):
-            def __missing__(self, word: bytes) -> int:
-                value = xxhash.xxh64_intdigest(word)
-                if len(self) < CACHED_WORDS:
-                    self[word] = value
-                return value
 
-        self.known = Known()
+def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all texts one after another, and where each text's begin (one place more at the end).
 
-    def of(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Token hashes of all texts one after another, and where each text's begin (one place more at the end)."""
-        parts, bounds = [], [0]
-        for text in texts:
-            words = (text or b"").lower().split()
-            parts.append(np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words)))
-            parts.append(np.array([END]))
-            bounds.append(bounds[-1] + len(words) + 1)
-        return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), np.array(bounds, np.int64)
+    A word's hash is a polynomial in its bytes, each replaced by a random number: all words of all texts
+    are hashed in columns.
+    """
+    lowered = [(text or b"").lower() for text in texts]
+    raw = np.frombuffer(b"\n".join([*lowered, b""]), np.uint8)
+    space = _SPACE[raw]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    starts = np.flatnonzero(begins)
+    letters = raw[~space]
+    own = np.append(np.cumsum(~space)[starts] - 1, len(letters))
+    lengths = np.diff(own)
+    powers = np.cumprod(np.full(int(lengths.max(initial=1)), _A))
+    values = _LETTERS[letters] * powers[np.arange(len(letters)) - np.repeat(own[:-1], lengths)]
+    hashes = mix(np.add.reduceat(values, own[:-1]) ^ lengths.astype(np.uint64) * _B) if len(starts) else np.empty(0, np.uint64)
+    stops = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in lowered]))
+    return np.insert(hashes, stops, END), np.concatenate(([0], stops + np.arange(1, len(texts) + 1))).astype(np.int64)
 
 
 def contexts(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -103,7 +114,7 @@ def _counter(pairs: bool):
     """Counts of tokens, or of pairs of tokens, summed within a task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, keys, counts, waiting = Tokens(), np.empty(0, np.uint64), np.empty(0, np.int64), []
+        keys, counts, waiting = np.empty(0, np.uint64), np.empty(0, np.int64), []
         held = 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +131,7 @@ def _counter(pairs: bool):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(counts[part])], ["h", "n"])
 
         for batch in _slices(batches):
-            found, bounds = tokens.of(batch.column("text").cast(pa.binary()).to_pylist())
+            found, bounds = tokens(batch.column("text").cast(pa.binary()).to_pylist())
             waiting.append(pair(contexts(found, bounds), found) if pairs else found)
             held += len(found)
             if held >= 2_000_000:
@@ -135,15 +146,26 @@ def _counter(pairs: bool):
     return run
 
 
+def _thresholds() -> np.ndarray:
+    """The smallest count of each level: one apart at first, then by the factor ``LEVEL_BASE``."""
+    out = [1]
+    while len(out) < MAX_LEVEL:
+        out.append(max(out[-1] + 1, int(out[-1] * LEVEL_BASE)))
+    return np.array(out, np.float64)
+
+
+THRESHOLDS = _thresholds()
+
+
 def level(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(1 + np.floor(np.log(counts) / np.log(LEVEL_BASE) + 1e-9), MAX_LEVEL).astype(np.int64)
+    return np.searchsorted(THRESHOLDS, counts, "right")
 
 
 def level_value(levels: np.ndarray) -> np.ndarray:
     """The count that stands for a level: the middle of the whole numbers on it; 0 for level 0."""
-    low = np.ceil(LEVEL_BASE ** (levels - 1) - 1e-9)
-    high = np.maximum(np.ceil(LEVEL_BASE**levels - 1e-9) - 1, low)
-    return np.where(levels > 0, (low + high) / 2, 0.0)
+    low = np.concatenate(([0.0], THRESHOLDS))
+    high = np.concatenate(([0.0], THRESHOLDS[1:] - 1, THRESHOLDS[-1:]))
+    return ((low + high) / 2)[levels]
 
 
 def places(keys: np.ndarray, levels: np.ndarray | int, segment_bits: int) -> Iterator[np.ndarray]:
@@ -154,40 +176,29 @@ def places(keys: np.ndarray, levels: np.ndarray | int, segment_bits: int) -> Ite
         yield (at + np.uint64(k) * step) & np.uint64(segment_bits - 1)
 
 
-class Filter:
-    """A log-frequency Bloom filter as ``segments`` bit arrays; the top bits of a key choose one."""
-
-    def __init__(self, bits: np.ndarray, total: int, distinct: int, segments: int = SEGMENTS):
-        self.bits, self.total, self.distinct, self.segments = bits, total, distinct, segments
-        self.segment_bits = len(bits) * 8 // segments
-
-    def levels(self, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), np.int64)
-        active = np.arange(len(keys))
-        base = segment_of(keys, self.segments).astype(np.uint64) * np.uint64(self.segment_bits)
-        for q in range(1, MAX_LEVEL + 1):
-            alive, start = keys[active], base[active]
-            there = np.ones(len(active), bool)
-            for place in places(alive, q, self.segment_bits):
-                where = np.flatnonzero(there)
-                if not len(where):
-                    break
-                at = start[where] + place[where]
-                there[where] = self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
-            active = active[there]
-            if not len(active):
+def levels_of(keys: np.ndarray, bits: np.ndarray, segment: np.ndarray, segment_bits: int) -> np.ndarray:
+    """Levels of ``keys``, each looked up in its ``segment`` of the bit array."""
+    out = np.zeros(len(keys), np.int64)
+    active = np.arange(len(keys))
+    alive, base = keys, segment.astype(np.uint64) * np.uint64(segment_bits)
+    for q in range(1, MAX_LEVEL + 1):
+        there = np.arange(len(active))
+        for k, place in enumerate(places(alive, q, segment_bits)):
+            at = (base if not k else base[there]) + (place if not k else place[there])
+            there = there[bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1]
+            if not len(there):
                 break
-            out[active] = q
-        return out
+        active, alive, base = active[there], alive[there], base[there]
+        if not len(active):
+            break
+        out[active] = q
+    return out
 
 
-def text_score(counts: np.ndarray, pairs: np.ndarray, total: int, distinct: int) -> float:
-    """log10 probability of a text from the counts of its tokens and of the pairs that they end."""
+def token_scores(counts: np.ndarray, before: np.ndarray, pairs: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    """log10 probabilities of tokens from their counts, those of the tokens before them and those of the pairs."""
     alone = (counts + ADDED) / (total + ADDED * (distinct + 1))
-    # a start is as frequent as an end, and any other context as frequent as its token
-    context_counts = np.concatenate((counts[-1:], counts[:-1]))
-    chances = (np.minimum(pairs, context_counts) + STRENGTH * alone) / (context_counts + STRENGTH)
-    return float(np.log10(chances).sum())
+    return np.log10((np.minimum(pairs, before) + STRENGTH * alone) / (before + STRENGTH))
 
 
 def segment_of(keys: np.ndarray, segments: int = SEGMENTS) -> np.ndarray:
@@ -208,7 +219,7 @@ def _segments(segment_bits: int, segments: int = SEGMENTS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, np.ndarray] = {}
         for batch in batches:
-            keys = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
+            keys = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64) & KEPT
             levels = level(batch.column("n").to_numpy(zero_copy_only=False))
             owner = segment_of(keys, segments)
             for number in np.unique(owner).tolist():
@@ -230,38 +241,82 @@ def train(docs: DataFrame, segment_bits: int = SEGMENT_BITS) -> tuple[DataFrame,
     """The segments (segment, bits) of the filter of all ``docs`` and their number, the exact counts of single
     tokens (h, n), and the number of tokens and of distinct ones."""
     single = durable(docs.select("text").mapInArrow(_counter(False), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "counts")
-    total, distinct = single.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    segments, bits = layout(total + distinct, segment_bits)
+    levels = F.size(F.filter(F.array(*(F.lit(float(t)) for t in THRESHOLDS)), lambda t: t <= F.col("n")))
+    total, distinct, entries = single.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(levels), F.lit(0))).first()
+    segments, bits = layout(total + entries, segment_bits)  # a pair has no more entries than its count
     pairs = docs.select("text").mapInArrow(_counter(True), "h long, n long")
     number = F.shiftright(F.shiftrightunsigned("h", 32) * F.lit(segments).cast("long"), 32).cast("int")
     counted = pairs.unionByName(single).withColumn("segment", number).repartition("segment").groupBy("segment", "h").agg(F.sum("n").alias("n"))
     return durable(counted.select("h", "n").mapInArrow(_segments(bits, segments), "segment int, bits binary"), "segments"), segments, single, total, distinct
 
 
-def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels of the keys in each row; rows come sorted by segment, each segment's bits before its keys."""
-    number, filter_ = None, None
-    for batch in batches:
-        owners, slices, raws = (batch.column(n).to_pylist() for n in ("segment", "slice", "data"))
-        at = 0
-        while at < len(owners):
-            if owners[at] != number:
-                number, filter_ = owners[at], None
-            if slices[at] is None:
-                filter_ = Filter(np.frombuffer(raws[at], np.uint8), 0, 0, 1)
-                at += 1
-                continue
-            end = at
-            while end < len(owners) and owners[end] == number:
-                end += 1
-            keys = [np.frombuffer(r, "<u8") for r in raws[at:end]]
-            found = filter_.levels(np.concatenate(keys)) if filter_ else np.zeros(sum(map(len, keys)), np.int64)  # no bits: nothing entered
-            parts = np.split(found.astype(np.uint8), np.cumsum([len(k) for k in keys])[:-1])
-            yield pa.RecordBatch.from_pydict({"slice": pa.array(slices[at:end], pa.binary()), "segment": pa.array(owners[at:end], pa.int32()), "data": pa.array([x.tobytes() for x in parts], pa.binary())})
-            at = end
+def _packed(numbers: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each number."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _planes(codes: np.ndarray) -> bytes:
+    """Three bytes a code, all low bytes first: the high ones are nearly all zero, and compress."""
+    return np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    low, middle, high = np.frombuffer(raw, np.uint8).reshape(3, -1).astype(np.int64)
+    return low | middle << 8 | high << 16
+
 
+def _unpacked(raw: bytes, width: int) -> np.ndarray:
+    parts = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return np.pad(parts, ((0, 0), (0, 8 - width))).view("<u8").ravel()
 
-def score(docs: DataFrame, held_out: Column, segment_bits: int = SEGMENT_BITS) -> DataFrame:
+
+def frames(found: np.ndarray, bounds: np.ndarray, names: np.ndarray, segments: int, size: int = FRAME) -> Iterator[tuple[dict, dict[int, bytes]]]:
+    """Token runs of ``size`` at most with the keys to look up in each block.
+
+    A frame has the distinct tokens' keys (the end first) and then a key for each token's pair.  What is
+    kept of it are the places of its tokens among the distinct ones (with that of the token before the
+    frame, if a text goes on), the block of each key, and which tokens begin which text's piece.
+    """
+    before = contexts(found, bounds)
+    for start in range(0, len(found), size):
+        stop = min(start + size, len(found))
+        first = np.searchsorted(bounds, start, "right") - 1
+        goes_on = bool(bounds[first] < start)
+        codes, distinct = pd.factorize(np.concatenate(([END], found[start - goes_on : stop])))
+        keys = np.concatenate((distinct, pair(before[start:stop], found[start:stop]))) & KEPT
+        owner = segment_of(keys, segments) // BLOCK_SEGMENTS
+        last = np.searchsorted(bounds, stop, "left")
+        pieces = np.maximum(bounds[first:last], start) - start
+        kept = {
+            "codes": _planes(codes[1:]), "owners": _packed(owner, _owner_bytes(segments)), "goes_on": goes_on,
+            "pieces": pieces.tolist(), "names": names[first:last].tolist(), "distinct": len(distinct),
+        }
+        yield kept, {int(b): _packed(keys[owner == b] >> np.uint64(16), 6) for b in np.unique(owner)}
+
+
+def _owner_bytes(segments: int) -> int:
+    return 1 if segments <= 256 * BLOCK_SEGMENTS else 4
+
+
+def frame_scores(frame: dict, levels: dict[int, bytes], segments: int, total: int, distinct: int) -> np.ndarray:
+    """log10 probability of each piece of a frame, from the levels that its blocks gave."""
+    owner = _unpacked(frame["owners"], _owner_bytes(segments))
+    found = np.zeros(len(owner), np.int64)
+    for block, raw in levels.items():
+        found[owner == block] = np.frombuffer(raw, np.uint8)
+    values = level_value(found)
+    counts = values[_from_planes(frame["codes"])]
+    pairs = values[frame["distinct"] :]
+    pieces = np.array(frame["pieces"], np.int64)
+    before = counts[:-1] if frame["goes_on"] else np.concatenate(([0.0], counts[:-1]))
+    counts = counts[1:] if frame["goes_on"] else counts
+    begin = pieces[1:] if frame["goes_on"] else pieces
+    before = before.copy()
+    before[begin] = values[0]  # a start is as frequent as an end
+    return np.add.reduceat(token_scores(counts, before, pairs, total, distinct), pieces)
+
+
+def score(docs: DataFrame, held_out: Column, segment_bits: int = SEGMENT_BITS, frame: int = FRAME) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     spark = docs.sparkSession
     filter_, segments, counts, total, distinct = train(docs.where(~held_out), segment_bits)
@@ -271,98 +326,123 @@ def score(docs: DataFrame, held_out: Column, segment_bits: int = SEGMENT_BITS) -
     order = np.argsort(top_keys)
     frequent = spark.sparkContext.broadcast((top_keys[order], top_counts[order]))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    own = f"doc_id {kind}, held_out boolean, n_tokens long, n_frequent long, frequent_score double, mark binary, rest array<long>, rest_n array<long>"
-    kept = [c.split()[0] for c in own.split(", ")]
-    asked = f"{own}, slice binary, segment int, data binary"
+    own = f"doc_id {kind}, held_out boolean, n_tokens long, n_frequent long, frequent_score double, mark binary, rest array<long>, rest_n array<long>, name long"
+    look = "frame binary, codes binary, owners binary, goes_on boolean, pieces array<int>, names array<long>, `distinct` int, keys binary"
+    asked = f"{own}, {look}, block int"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text, with the places of its tokens and pairs among the slice's distinct keys; and
-        a row for each segment, with the slice's keys in it."""
-        tokens = Tokens()
+        """A row for each text (block -2), for each frame (-1), and for a frame's keys in each block."""
         keys, known_counts = frequent.value
+        schema = None
+        number = TaskContext.get().partitionId() << 40
         for batch in _slices(batches, 1024):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            found, bounds = tokens.of(texts)
-            if not len(texts):
+            found, bounds = tokens(batch.column("text").cast(pa.binary()).to_pylist())
+            texts = batch.num_rows
+            if not texts:
                 continue
+            if schema is None:
+                fields = [
+                    ("doc_id", batch.schema.field("doc_id").type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_frequent", pa.int64()),
+                    ("frequent_score", pa.float64()), ("mark", pa.binary()), ("rest", pa.list_(pa.int64())), ("rest_n", pa.list_(pa.int64())), ("name", pa.int64()),
+                    ("frame", pa.binary()), ("codes", pa.binary()), ("owners", pa.binary()), ("goes_on", pa.bool_()), ("pieces", pa.list_(pa.int32())),
+                    ("names", pa.list_(pa.int64())), ("distinct", pa.int32()), ("keys", pa.binary()), ("block", pa.int32()),
+                ]
+                schema = pa.schema(fields)
+
+            def rows(count: int, **columns: object) -> pa.RecordBatch:
+                made = [columns[f.name] if f.name in columns else pa.nulls(count, f.type) for f in schema]
+                return pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(made, schema)], schema=schema)
+
+            names = number + np.arange(texts)
+            number += texts
             at, single = pd.factorize(found)
             near = np.minimum(np.searchsorted(keys, single), max(len(keys) - 1, 0))
             single_hit = keys[near] == single if len(keys) else np.zeros(len(single), bool)
             single_logs = np.where(single_hit, np.log10((known_counts[near] + ADDED) / (total + ADDED * (distinct + 1))) if len(keys) else 0.0, 0.0)
-            hit, logs = single_hit[at], single_logs[at]
-            probes, where = np.unique(np.concatenate((single, pair(contexts(found, bounds), found))), return_inverse=True)
-            width = 3 if len(probes) < 1 << 24 else 4
-            where = np.ascontiguousarray(where.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width])
-            singles, pairs = where[: len(single)][at], where[len(single) :]
-            rest, rest_n, codes = [], [], []
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                other, n = np.unique(found[a:b][~hit[a:b]], return_counts=True)
-                rest.append(other.view(np.int64))
-                rest_n.append(n)
-                codes.append(singles[a:b].tobytes() + pairs[a:b].tobytes())
-            marks = [xxhash.xxh3_128_digest(t or b"") for t in texts]
-            name = uuid.uuid4().bytes
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("held_out"),
-                    pa.array(np.diff(bounds)), pa.array(np.add.reduceat(hit.astype(np.int64), bounds[:-1])),
-                    pa.array(np.add.reduceat(logs, bounds[:-1])), pa.array(marks, pa.binary()),
-                    pa.array(rest, pa.list_(pa.int64())), pa.array(rest_n, pa.list_(pa.int64())),
-                    pa.array([name] * len(texts), pa.binary()), pa.nulls(len(texts), pa.int32()), pa.array(codes, pa.binary()),
-                ],
-                [*kept, "slice", "segment", "data"],
+            hit = single_hit[at]
+            # the tokens that are not in the broadcast table, with their number in each text
+            where = np.flatnonzero(~hit)
+            text_of = np.searchsorted(bounds, where, "right") - 1
+            both, n = np.unique(text_of * len(single) + at[where], return_counts=True)
+            ends = pa.array(np.searchsorted(both, np.arange(texts + 1) * len(single)).astype(np.int32))
+            marks = [xxhash.xxh3_128_digest(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield rows(
+                texts, doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), n_tokens=np.diff(bounds),
+                n_frequent=np.add.reduceat(hit.astype(np.int64), bounds[:-1]), frequent_score=np.add.reduceat(single_logs[at], bounds[:-1]), mark=marks,
+                rest=pa.ListArray.from_arrays(ends, pa.array(single[both % len(single)].view(np.int64))), rest_n=pa.ListArray.from_arrays(ends, pa.array(n)),
+                name=names, block=np.full(texts, -2),
             )
-            owner = segment_of(probes, segments)  # ascending, as the keys are
-            numbers, starts = np.unique(owner, return_index=True)
-            parts = [p.astype("<u8").tobytes() for p in np.split(probes, starts[1:])]
-            empty = [pa.nulls(len(parts), batch.schema.field("doc_id").type), pa.nulls(len(parts), pa.bool_()), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64())]
-            empty += [pa.nulls(len(parts), pa.float64()), pa.nulls(len(parts), pa.binary()), *[pa.nulls(len(parts), pa.list_(pa.int64()))] * 2]
-            yield pa.RecordBatch.from_arrays(
-                [*empty, pa.array([name] * len(parts), pa.binary()), pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], [*kept, "slice", "segment", "data"]
-            )
+            for kept, blocks in frames(found, bounds, names, segments, frame):
+                name = uuid.uuid4().bytes
+                yield rows(1, frame=[name], **{c: [v] for c, v in kept.items()}, block=[-1])
+                yield rows(len(blocks), frame=[name] * len(blocks), keys=list(blocks.values()), block=list(blocks))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Scores; a slice's levels come before its texts, sorted by segment as the slice's keys are."""
-        name, parts, values = None, [], np.empty(0)
+        """Scores of pieces; rows come sorted by frame, and of each frame the levels by block after the frame itself."""
+        name, about, levels = None, None, {}
+
+        def scores() -> pa.RecordBatch:
+            values = frame_scores(about, levels, segments, total, distinct) if about else np.empty(0)
+            return pa.RecordBatch.from_arrays([pa.array(about["names"] if about else [], pa.int64()), pa.array(values, pa.float64())], ["name", "score"])
+
         for batch in batches:
-            scores, rows = [], []
-            columns = (batch.column(n).to_pylist() for n in ("slice", "segment", "data", "n_tokens"))
-            for at, (of, segment, raw, n_tokens) in enumerate(zip(*columns)):
-                if of != name:
-                    name, parts, values = of, [], None
-                if segment is not None:
-                    parts.append(raw)
-                    continue
-                if values is None:
-                    values = level_value(np.frombuffer(b"".join(parts), np.uint8).astype(np.int64))
-                codes = np.frombuffer(raw, np.uint8).reshape(2 * n_tokens, -1)
-                counts = values[np.pad(codes, ((0, 0), (0, 4 - codes.shape[1]))).view("<u4").ravel()]
-                scores.append(text_score(counts[:n_tokens], counts[n_tokens:], total, distinct))
-                rows.append(at)
-            texts = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(texts.column(c) for c in kept), pa.array(scores, pa.float64())], [*kept, "score"])
-
-    probes = durable(docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(ask, asked), "probes")
-    keys = probes.where("segment is not null").select("segment", "slice", "data")
-    bits = filter_.select("segment", F.lit(None).cast("binary").alias("slice"), F.col("bits").alias("data"))
-    placed = bits.unionByName(keys).repartition("segment").sortWithinPartitions("segment", F.asc_nulls_first("slice"))
-    levels = durable(placed.mapInArrow(_look_up, "slice binary, segment int, data binary"), "levels")
-    del placed
-    free_shuffles(spark)
-    texts = probes.where("segment is null").unionByName(levels, allowMissingColumns=True)
-    texts = texts.repartition("slice").sortWithinPartitions("slice", F.asc_nulls_last("segment"))
-    scored = durable(texts.mapInArrow(answer, f"{own}, score double"), "scores")
-    return _with_rest(scored, counts, total, distinct)
+            for row in batch.to_pylist():
+                if row["frame"] != name:
+                    yield scores()
+                    name, about, levels = row["frame"], None, {}
+                if row["block"] < 0:
+                    about = row
+                else:
+                    levels[row["block"]] = row["keys"]
+        yield scores()
+
+    path = scratch(spark, "probes")
+    docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(ask, asked).write.partitionBy("block").option("compression", "zstd").parquet(path)
+    probes = spark.read.schema(asked).parquet(path)
+    found = scratch(spark, "levels")
+    for block in range(-(-segments // BLOCK_SEGMENTS)):
+        _probe(filter_, probes, block, segments).write.mode("append").parquet(found)
+        remove(spark, f"{path}/block={block}")
+    levels = spark.read.schema("frame binary, block int, keys binary").parquet(found)
+    columns = [c.split()[0].strip("`") for c in look.split(", ")]
+    pieces = probes.where("block = -1").select(*columns, "block").unionByName(levels, allowMissingColumns=True)
+    pieces = pieces.repartition("frame").sortWithinPartitions("frame", "block").mapInArrow(answer, "name long, score double")
+    sums = pieces.groupBy("name").agg(F.sum("score").alias("score"))
+    texts = probes.where("block = -2").select(*(c.split()[0] for c in own.split(", ")))
+    return _with_rest(texts.select("name", "mark", "rest", "rest_n"), texts.drop("rest", "rest_n").join(sums, "name"), counts, total, distinct)
+
+
+def _probe(filter_: DataFrame, probes: DataFrame, block: int, segments: int) -> DataFrame:
+    """Levels of all keys of one block of segments, which is broadcast."""
+    spark = probes.sparkSession
+    first = block * BLOCK_SEGMENTS
+    held = filter_.where(F.col("segment").between(first, first + BLOCK_SEGMENTS - 1)).toArrow()  # 64 MB at most
+    bits = {n: np.frombuffer(b.as_buffer(), np.uint8) for n, b in zip(held.column("segment").to_pylist(), held.column("bits"))}
+    length = max((len(b) for b in bits.values()), default=8)
+    whole = np.zeros(BLOCK_SEGMENTS * length, np.uint8)
+    for number, own in bits.items():
+        whole[(number - first) * length : (number - first + 1) * length] = own
+    shared = spark.sparkContext.broadcast(whole)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            for k in range(batch.num_rows):
+                keys = _unpacked(batch.column("keys")[k].as_buffer(), 6) << np.uint64(16)
+                found = levels_of(keys, bits, segment_of(keys, segments) - first, len(bits) // BLOCK_SEGMENTS * 8)
+                yield pa.RecordBatch.from_pydict({"frame": batch.column("frame").slice(k, 1), "block": pa.array([block], pa.int32()), "keys": pa.array([found.astype(np.uint8).tobytes()], pa.binary())})
+
+    return probes.where(F.col("block") == block).select("frame", "keys").mapInArrow(run, "frame binary, block int, keys binary")
 
 
-def _with_rest(scored: DataFrame, counts: DataFrame, total: int, distinct: int) -> DataFrame:
+def _with_rest(texts: DataFrame, scored: DataFrame, counts: DataFrame, total: int, distinct: int) -> DataFrame:
     """Add the tokens that are not in the broadcast table, by a join with the exact counts.
 
     Rows of one text are summed together and the sum divided by their number, so that the rows of a
     large group of copies need no key of their own.
     """
     log = F.log10((F.coalesce("c", F.lit(0)) + F.lit(ADDED)) / F.lit(total + ADDED * (distinct + 1)))
-    rest = scored.select("mark", F.explode(F.arrays_zip("rest", "rest_n")).alias("t")).select("mark", F.col("t.rest").alias("h"), F.col("t.rest_n").alias("tf"))
+    rest = texts.select("mark", F.explode(F.arrays_zip("rest", "rest_n")).alias("t")).select("mark", F.col("t.rest").alias("h"), F.col("t.rest_n").alias("tf"))
     sums = (
         rest.join(counts.withColumnRenamed("n", "c"), "h", "left")
         .groupBy("mark")
@@ -370,7 +450,7 @@ def _with_rest(scored: DataFrame, counts: DataFrame, total: int, distinct: int)
     )
     rows = scored.groupBy("mark").agg(F.count("*").alias("rows"))
     per_text = sums.join(rows, "mark").select("mark", (F.col("sum") / F.col("rows")).alias("sum"), (F.col("known") / F.col("rows")).cast("long").alias("known"))
-    return scored.drop("rest", "rest_n").join(per_text, "mark", "left").select(
+    return scored.join(per_text, "mark", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

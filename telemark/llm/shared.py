@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -39,10 +40,21 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in shared storage that no later step reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished steps; it does so when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files of finished steps; it does so when the driver collects its garbage.
+
+    The first round lets go of finished plans, the second of what only these held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def dealt(ranges: DataFrame, *keys: str) -> DataFrame:
@@ -75,3 +87,9 @@ def byte_letters() -> dict[int, str]:
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = [b for b in range(256) if b not in printable]
     return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+def unused(df: DataFrame, stem: str = "key") -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for k in range(len(taken) + 1) if (name := f"_{stem}_{k}") not in taken)

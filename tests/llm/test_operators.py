@@ -276,15 +276,16 @@ def test_bloom_levels_hold_counts():
     keys = bloom_lm.mix(np.arange(1, 2001, dtype=np.uint64))
     counts = np.arange(1, 2001)
     bits = np.zeros(bloom_lm.SEGMENTS * 4096, np.uint8)
-    filter_ = bloom_lm.Filter(bits, 1, 1)
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["h", "n"])
-    for part in bloom_lm._segments(filter_.segment_bits)(iter([batch])):
+    for part in bloom_lm._segments(8 * 4096)(iter([batch])):
         at = part.column("segment")[0].as_py() * 4096
         bits[at : at + 4096] |= np.frombuffer(part.column("bits")[0].as_py(), np.uint8)
-    found, want = filter_.levels(keys), bloom_lm.level(counts)
+    keys &= bloom_lm.KEPT
+    found, want = bloom_lm.levels_of(keys, bits, bloom_lm.segment_of(keys), 8 * 4096), bloom_lm.level(counts)
     assert (found >= want).all() and (found == want).mean() > 0.9
+    assert (want <= counts).all() and want[:4].tolist() == [1, 2, 3, 4] and bloom_lm.level(np.array([2**62])) <= bloom_lm.MAX_LEVEL
 
 
 def test_chat(spark):
@@ -399,7 +400,8 @@ def test_language_model_score_at_any_size(spark):
     pairs = Counter(p for t in learned for p in zip(["start", *t], t))
     total, distinct = sum(counts.values()), len(counts)
     value = lambda n: float(bloom_lm.level_value(bloom_lm.level(np.array([n])))[0]) if n else 0.0
-    got = {r.doc_id: r.score for r in bloom_lm.score(docs, F.col("doc_id") % 10 == 0, segment_bits=1 << 8).collect()}
+    # 256 bits a segment make blocks of 64 segments; frames of 37 tokens cut most texts
+    got = {r.doc_id: r.score for r in bloom_lm.score(docs, F.col("doc_id") % 10 == 0, segment_bits=1 << 8, frame=37).collect()}
     assert bloom_lm.layout(total + distinct, 1 << 8)[0] > bloom_lm.SEGMENTS and len(got) == len(rows)
     off = []
     for k, t in rows:
