@@ -425,10 +425,10 @@ def labelled(page: list[Block]) -> list[int] | None:
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field:
     """Fit the field on a bounded sample of ``pages`` (page_id, html) and on pages written from their texts."""
-    sample = (
-        pages.select("page_id", "html").where(F.length("html").between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample_pages).collect()
-    )
+    # the pages are chosen by numbers alone, so that tasks do not send texts that others displace
+    numbered = pages.select(F.xxhash64("page_id").alias("at"), F.xxhash64("html").alias("of"), "html").where(F.length("html").between(1, SAMPLE_CHARS))
+    chosen = numbered.groupBy("at", "of").agg(F.lit(1)).orderBy("at", "of").limit(sample_pages).select("at", "of")
+    sample = numbered.join(F.broadcast(chosen), ["at", "of"]).dropDuplicates(["at", "of"]).orderBy("at", "of").limit(sample_pages).collect()
     found = [(page, labels) for page in (blocks(row.html) for row in sample) if (labels := labelled(page))]
     found = [(page[:200], labels[:200]) for page, labels in found]
     mains = [[b.text for b, y in zip(page, labels) if y][:12] for page, labels in found]
