@@ -27,6 +27,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from telemark.llm.shared import unused
+
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 64
@@ -120,6 +122,13 @@ class Index:
             present[keys >> np.uint64(64 - _TABLE_BITS)] = True
             self.tables[size] = (keys[order], owner[order], present)
 
+    @classmethod
+    def of(cls, fields: dict) -> Index:
+        """The index with the fields of another: broadcasts hold plain values, since workers have no copy of the class."""
+        index = cls.__new__(cls)
+        index.__dict__.update(fields)
+        return index
+
     def candidates(self, hashes: np.ndarray) -> set[int]:
         found: set[int] = set()
         if not len(hashes):
@@ -163,10 +172,10 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = CONTAINME
     schema = f"doc_id {kind['doc_id']}, item_id {kind['item_id']}, n_shared long, n_item long, containment double"
     out = None
     for block in _blocks(items, block_chars):
-        index = spark.sparkContext.broadcast(Index(sorted(map(tuple, block.collect()), key=repr)))
+        index = spark.sparkContext.broadcast(vars(Index(sorted(map(tuple, block.collect()), key=repr))))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            table = index.value
+            table = Index.of(index.value)
 
             class Words(dict):
                 def __missing__(self, word: str) -> int:
@@ -200,9 +209,10 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = CONTAINME
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
-    """``docs`` without those that hold a test item."""
+    """``docs`` without those that hold a test item; all their columns, whatever their names, are kept."""
     key = F.xxhash64("doc_id", "text")
     # the search sees a key of its own, so that null and repeated ids are told apart by their texts
     keyed = docs.select(key.alias("doc_id"), "text")
-    hits = contaminated(keyed, items, threshold).select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(hits, "_key", "left_anti").drop("_key")
+    name = unused(docs)
+    hits = contaminated(keyed, items, threshold).select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, key).join(hits, name, "left_anti").drop(name)
