@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from telemark.llm.shared import byte_letters
+from telemark.llm.shared import byte_letters, unused
 
 #: Characters of a piece; longer texts are cut.
 PIECE_CHARS = 1 << 15
@@ -255,22 +255,25 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), dige
     """``keep`` columns, n_tokens, and ids (unsigned 32-bit, little-endian) of every row's whole text.
 
     With ``digest`` the ids are decoded again and both come back as SHA-256 instead: ids_sha256 and
-    decoded_sha256.  Texts of up to ``piece_chars`` characters never leave their task.
+    decoded_sha256.  Texts of up to ``piece_chars`` characters never leave their task.  Columns of ``keep``
+    that have the name of a result give way to it; other names cannot clash.
     """
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     result = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "n_tokens long, ids binary"
     titles = [c.split()[0] for c in result.split(", ")]
+    keep = tuple(c for c in keep if c not in titles)
+    key = unused(docs)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     source = docs.select(*dict.fromkeys([*keep, "text"]))
     is_long = F.coalesce(F.length("text") > piece_chars, F.lit(False))
     short = source.where(~is_long).select(*keep, "text").mapInArrow(_ids_of_short(path, digest), f"{kinds}, {result}")
 
     # equal long texts are encoded once: copies join the result by the digest of the text
-    long = source.where(is_long).withColumn("_key", F.sha2(F.col("text").cast("binary"), 256))
-    texts = long.select("_key", "text").dropDuplicates(["_key"])
+    long = source.where(is_long).withColumn(key, F.sha2(F.col("text").cast("binary"), 256))
+    texts = long.select(F.col(key).alias("_key"), "text").dropDuplicates(["_key"])
     pieces = texts.mapInArrow(_cut(path, piece_chars), "_key string, number int, piece string")
     encoded = pieces.repartition(F.col("_key"), F.col("number")).mapInArrow(_pieces(path), "_key string, number int, piece string, ids binary, ends binary, upto binary")
     whole = encoded.groupBy("_key").applyInArrow(_tree(path, digest), f"_key string, {result}")
-    joined = long.select(*keep, "_key").join(whole, "_key").select(*keep, *titles)
+    joined = long.select(*keep, key).join(whole.withColumnRenamed("_key", key), key).select(*keep, *titles)
     return short.unionByName(joined)
 
 

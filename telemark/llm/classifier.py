@@ -112,8 +112,9 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, flo
     return vectors @ difference, float(bias[1] - bias[0])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and the probability of label 1 as ``_score``."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ("doc_id",), name: str = "_score") -> DataFrame:
+    """``keep`` columns and the probability of label 1 as ``name``, which takes the place of a kept column of that name."""
+    keep = tuple(c for c in keep if c.lower() != name.lower())
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((np.asarray(model[0], np.float64), model[1]))
 
@@ -138,7 +139,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 total = sum(map(known.__getitem__, (text or b"").split()), 0j)
                 scores.append(1 / (1 + np.exp(-np.clip(total.real / total.imag if total.imag else 0.0, -500, 500) - bias)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores, pa.float64())], [*keep, "_score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores, pa.float64())], [*keep, name])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{schema}, _score double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{schema}, `{name}` double")

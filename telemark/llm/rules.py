@@ -8,7 +8,7 @@ expression, so that scoring is a plain projection over any number of documents.
 
 Nulls and edge cases: a null text counts as empty (no words, ``base_failed``); null ids are kept;
 repeated rows are judged one by one; with no labelled rows the list is empty and only the base rules
-decide.  Columns of other names pass through ``statistics`` untouched.
+decide.  Other columns pass through ``passed`` unchanged; in ``judge`` those with the name of a result give way to it.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemark.llm.shared import SPACE_CLASS, words
+from telemark.llm.shared import SPACE_CLASS, unused, words
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -250,5 +250,21 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``docs`` with the five counts, ``base_failed`` and ``kept``."""
-    return statistics(docs).withColumn("kept", verdict(rules)).drop(*(PREFIX + r for r in RATES))
+    """``docs`` with the five counts, ``base_failed`` and ``kept``; these take the place of columns of their names."""
+    row = unused(docs, "row")
+    judged = _judged(docs, rules, row)
+    results = [c for c in judged.columns if c not in (row, "text")]
+    own = [F.col(f"{row}.`{c}`").alias(c) for c in docs.columns if c not in results]
+    return judged.select(*own, *results)
+
+
+def passed(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns unchanged, whatever their names."""
+    row = unused(docs, "row")
+    return _judged(docs, rules, row).where("kept").select(*(F.col(f"{row}.`{c}`").alias(c) for c in docs.columns))
+
+
+def _judged(docs: DataFrame, rules: list[Rule], row: str) -> DataFrame:
+    """Counts and verdict beside the whole row as one column, so that names cannot clash."""
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), "text")
+    return statistics(packed).withColumn("kept", verdict(rules)).drop(*(PREFIX + r for r in RATES))

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from telemark.llm.shared import durable
+from telemark.llm.shared import durable, unused
 
 SHINGLE = 3
 HASH_SEED = 42
@@ -189,14 +189,14 @@ def near_duplicates(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def representatives(docs: DataFrame, search: Callable[[DataFrame, tuple[str, ...]], DataFrame] = near_duplicates) -> DataFrame:
     """One row of ``docs`` for each component that ``search`` finds: that with the smallest id (null ids
-    last; among rows of one id, the smallest hash of the text), whole and unchanged."""
+    last; among rows of one id, the smallest hash of the text), whole and unchanged, columns of any name included."""
     mark = F.xxhash64("text")
-    found = search(docs.withColumn("_mark", mark), ("_mark",))
+    found = search(docs.select("doc_id", "text", mark.alias("_mark")), ("_mark",))
+    keys = [unused(docs, stem) for stem in ("id", "null", "mark")]
     chosen = (
         found.groupBy("group")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_mark")).alias("best"))
-        .select(F.coalesce("best.doc_id", F.lit(-1)).alias("_id"), F.col("best.n").alias("_null"), F.col("best._mark").alias("_mark"))
+        .select(F.coalesce("best.doc_id", F.lit(-1)).alias(keys[0]), F.col("best.n").alias(keys[1]), F.col("best._mark").alias(keys[2]))
     )
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(-1)), "_null": F.col("doc_id").isNull(), "_mark": mark})
-    keys = ["_id", "_null", "_mark"]
+    keyed = docs.withColumns(dict(zip(keys, (F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), mark))))
     return keyed.join(chosen, keys, "left_semi").dropDuplicates(keys).drop(*keys)
