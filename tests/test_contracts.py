@@ -240,6 +240,23 @@ def test_monotonic_guard_follows_the_sequential_rule(spark, cut):
     assert [r.corrected_ns for r in done] == _guarded(raw, guess, 8)
 
 
+def test_guard_of_a_segment_for_any_entry():
+    """The step function of a segment, and its frames for each entry, against the rule frame by frame."""
+    rnd = np.random.default_rng(5)
+    for _ in range(400):
+        n, step = int(rnd.integers(1, 40)), int(rnd.integers(1, 8))
+        raw, guess = np.cumsum(rnd.integers(-6, 12, n)), np.arange(n) * 3 + rnd.integers(-20, 20, n)
+        part = repair.Advance(raw, guess, step)
+        for entry in (None, *rnd.integers(-60, 150, 3).tolist()):
+            before, want = entry, []
+            for value, other in zip(raw.tolist(), guess.tolist(), strict=True):
+                before = value if before is None or value > before else max(other, before + step)
+                want.append(before)
+            values, pushed = part.apply(entry)
+            assert values.tolist() == want and pushed.tolist() == [a != b or p for a, b, p in zip(want, raw.tolist(), pushed.tolist(), strict=True)]
+            assert repair.passed_on(entry, **part.summary()) == want[-1]
+
+
 def test_too_few_frames_are_reported(spark):
     short = line(spark, [0, 33 * MS])
     done = repair.repair_timestamps(short, "i", "t")
