@@ -370,8 +370,17 @@ _WIRE = ["topic", "record_index", "topic_index", "sequence", "log_time_ns", "pub
 )
 def recording_roundtrip(spark, folder):
     """Events written as recordings (several files per episode) and read back."""
+    from telemark.sources import mcap
+
+    back = mcap.messages(mcap.scan(spark, _event_recordings(spark, folder), split_bytes=128 << 10))
+    full = mcap.fetch(back, "source_file", "cdr_file_offset", "cdr_size")
+    return full.withColumn("body", F.decode("data", "utf-8")).select("episode", *_WIRE)
+
+
+def _event_recordings(spark, folder):
+    """The folder of the events as recordings of four episodes."""
     from telemark.plans.tables import messages
-    from telemark.sources import mcap, mcap_sink
+    from telemark.sources import mcap_sink
     from telemark.sources.durable import scratch
 
     raw = read(spark, folder, "events").select("event_id", "props")
@@ -391,9 +400,27 @@ def recording_roundtrip(spark, folder):
     )
     target = scratch(spark, "recordings")
     mcap_sink.write_recordings(rows, target, chunk_bytes=64 << 10, file_rows=4096)
-    back = mcap.messages(mcap.scan(spark, target, split_bytes=128 << 10))
-    full = mcap.fetch(back, "source_file", "cdr_file_offset", "cdr_size")
-    return full.withColumn("body", F.decode("data", "utf-8")).select("episode", *_WIRE)
+    return target
+
+
+_FILTERED_TOPICS = ("/click", "/error")
+_FILTERED_NS = (1_704_500_000_000_000_000, 1_705_500_000_000_000_000)
+
+
+@query(
+    "recording_filtered",
+    f"""WITH m AS (SELECT 'episode_' || (user_id % 4) AS episode, '/' || event_type AS topic, event_id, epoch_us(ts) * 1000 AS t FROM events),
+ n AS (SELECT episode, topic, row_number() OVER (PARTITION BY episode ORDER BY event_id) - 1 AS record_index, event_id AS sequence, t + event_id % 7 AS log_time_ns, t AS publish_time_ns FROM m)
+ SELECT * FROM n WHERE topic IN {_FILTERED_TOPICS} AND log_time_ns BETWEEN {_FILTERED_NS[0]} AND {_FILTERED_NS[1]}""",
+)
+def recording_filtered(spark, folder):
+    """Two topics and a span of time, read through a chunk index; record numbers are those of the whole episode."""
+    from telemark.sources import chunk_index
+
+    root = _event_recordings(spark, folder)
+    rows = chunk_index.scan(spark, root, chunk_index.build(spark, root, split_bytes=128 << 10))
+    wanted = F.col("topic").isin(*_FILTERED_TOPICS) & F.col("log_time_ns").between(*_FILTERED_NS)
+    return rows.filter(wanted).select("episode", "topic", "record_index", "sequence", "log_time_ns", "publish_time_ns")
 
 
 @query(
