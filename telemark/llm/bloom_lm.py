@@ -237,8 +237,8 @@ def _segments(segment_bits: int, segments: int = SEGMENTS):
     return run
 
 
-def train(docs: DataFrame, segment_bits: int = SEGMENT_BITS) -> tuple[DataFrame, int, DataFrame, int, int]:
-    """The segments (segment, bits) of the filter of all ``docs`` and their number, the exact counts of single
+def train(docs: DataFrame, segment_bits: int = SEGMENT_BITS) -> tuple[str, int, DataFrame, int, int]:
+    """The folder of the segments (segment, bits) of the filter of all ``docs`` and their number, the exact counts of single
     tokens (h, n), and the number of tokens and of distinct ones."""
     single = durable(docs.select("text").mapInArrow(_counter(False), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "counts")
     levels = F.size(F.filter(F.array(*(F.lit(float(t)) for t in THRESHOLDS)), lambda t: t <= F.col("n")))
@@ -247,7 +247,9 @@ def train(docs: DataFrame, segment_bits: int = SEGMENT_BITS) -> tuple[DataFrame,
     pairs = docs.select("text").mapInArrow(_counter(True), "h long, n long")
     number = F.shiftright(F.shiftrightunsigned("h", 32) * F.lit(segments).cast("long"), 32).cast("int")
     counted = pairs.unionByName(single).withColumn("segment", number).repartition("segment").groupBy("segment", "h").agg(F.sum("n").alias("n"))
-    return durable(counted.select("h", "n").mapInArrow(_segments(bits, segments), "segment int, bits binary"), "segments"), segments, single, total, distinct
+    path = scratch(docs.sparkSession, "segments")
+    counted.select("h", "n").mapInArrow(_segments(bits, segments), "segment int, bits binary").write.parquet(path)
+    return path, segments, single, total, distinct
 
 
 def _packed(numbers: np.ndarray, width: int) -> bytes:
@@ -319,7 +321,8 @@ def frame_scores(frame: dict, levels: dict[int, bytes], segments: int, total: in
 def score(docs: DataFrame, held_out: Column, segment_bits: int = SEGMENT_BITS, frame: int = FRAME) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     spark = docs.sparkSession
-    filter_, segments, counts, total, distinct = train(docs.where(~held_out), segment_bits)
+    filter_path, segments, counts, total, distinct = train(docs.where(~held_out), segment_bits)
+    filter_ = spark.read.schema("segment int, bits binary").parquet(filter_path)
     free_shuffles(spark)
     top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
     top_keys, top_counts = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
@@ -403,11 +406,16 @@ def score(docs: DataFrame, held_out: Column, segment_bits: int = SEGMENT_BITS, f
     for block in range(-(-segments // BLOCK_SEGMENTS)):
         _probe(filter_, probes, block, segments).write.mode("append").parquet(found)
         remove(spark, f"{path}/block={block}")
+    remove(spark, filter_path)
     levels = spark.read.schema("frame binary, block int, keys binary").parquet(found)
     columns = [c.split()[0].strip("`") for c in look.split(", ")]
     pieces = probes.where("block = -1").select(*columns, "block").unionByName(levels, allowMissingColumns=True)
     pieces = pieces.repartition("frame").sortWithinPartitions("frame", "block").mapInArrow(answer, "name long, score double")
-    sums = pieces.groupBy("name").agg(F.sum("score").alias("score"))
+    sums = durable(pieces.groupBy("name").agg(F.sum("score").alias("score")), "scores")
+    del pieces
+    remove(spark, found)
+    remove(spark, f"{path}/block=-1")
+    free_shuffles(spark)
     texts = probes.where("block = -2").select(*(c.split()[0] for c in own.split(", ")))
     return _with_rest(texts.select("name", "mark", "rest", "rest_n"), texts.drop("rest", "rest_n").join(sums, "name"), counts, total, distinct)
 
