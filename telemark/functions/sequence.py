@@ -16,8 +16,11 @@ Both layouts return the same rows.
 
 from __future__ import annotations
 
+import functools
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,7 +114,8 @@ def _cut(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], rows: int
 
     The first level divides the whole range evenly.  A segment that is still too
     full (a burst, or one stray value that stretched the range) is divided again
-    inside its own range, by the second order column once the first is constant.
+    inside its own range, by the second order column once the first is constant,
+    until all fit or the rows of a full one share one place in the order.
     """
     integral = {name: isinstance(df.schema[name].dataType, _INTEGRAL) for name in order}
     lead = order[0]
@@ -120,10 +124,15 @@ def _cut(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], rows: int
     first = _slot(F.col(lead), F.lit(low), F.lit(high), parts, integral[lead])
     df = df.withColumn("_seg0", first)
     names = ["_seg0"]
-    for level in range(1, 9):
+    for level in count(1):
         spread = [F.min(c).alias(f"_lo_{c}") for c in order] + [F.max(c).alias(f"_hi_{c}") for c in order]
         sizes = df.groupBy(*keys, *names).agg(F.count("*").alias("_n"), *spread)
-        if (sizes.agg(F.max("_n")).first()[0] or 0) <= 4 * rows:
+        over = F.col("_n") > 4 * rows
+        apart = functools.reduce(lambda a, b: a | b, [F.col(f"_lo_{c}") < F.col(f"_hi_{c}") for c in order])
+        crowded, divisible = sizes.agg(F.count_if(over), F.count_if(over & apart)).first()
+        if not divisible:
+            if crowded:
+                warnings.warn(f"{crowded} segments of more than {4 * rows} rows share one place in the order {order}", stacklevel=3)
             break
         # At most total/rows groups can be over the limit, so this side is small.
         full = F.broadcast(
