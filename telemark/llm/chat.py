@@ -37,7 +37,7 @@ def numbered(turns: DataFrame, bucket_turns: int = BUCKET_TURNS) -> DataFrame:
         F.coalesce("role", F.lit("unknown")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     ).distinct()
-    key = F.coalesce(F.col("id.conv_id").cast("string"), F.lit("\0"))
+    key = F.coalesce(F.concat(F.lit("="), F.col("id.conv_id").cast("string")), F.lit("none"))
     rows = rows.select(key.alias("key"), F.col("id.conv_id").alias("conv_id"), F.coalesce(F.floor(F.col("turn") / bucket_turns), F.lit(-1)).cast("long").alias("bucket"), "turn", "role", "text")
     inside = Window.partitionBy("key", "bucket").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     counted = rows.groupBy("key", "bucket").agg(F.count("*").alias("n"))
@@ -58,10 +58,11 @@ def maximal(turns: DataFrame) -> DataFrame:
     """key and n_turns of the conversations that no other one continues, one of each set of equals."""
     length = turns.groupBy("key").agg(F.max("place").alias("n_turns"))
     marks = turns.select("key", "conv_id", "place", "a", "b").join(length, "key")
-    whole = marks.where("place = n_turns")
-    inner = marks.where("place < n_turns").select("place", "a", "b").distinct()
-    alive = whole.join(inner, ["place", "a", "b"], "left_anti")
-    first = alive.groupBy("n_turns", "a", "b").agg(F.min(F.struct(F.col("conv_id").isNull(), "conv_id", "key")).alias("best"))
+    # Equal conversations collapse before the anti-join, so both of its sides hold a hash once.
+    best = F.min(F.struct(F.col("conv_id").isNull(), "conv_id", "key")).alias("best")
+    whole = marks.where("place = n_turns").groupBy("n_turns", "a", "b").agg(best)
+    inner = marks.where("place < n_turns").select(F.col("place").alias("n_turns"), "a", "b").distinct()
+    first = whole.join(inner, ["n_turns", "a", "b"], "left_anti")
     return first.select(F.col("best.key").alias("key"), "n_turns")
 
 

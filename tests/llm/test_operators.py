@@ -300,6 +300,8 @@ def test_chat(spark):
     text = "".join(r.rendered for r in sorted((r for r in got if r.conv_id == "long"), key=lambda r: r.part))
     assert text == "".join(f"<|im_start|>user\nt{k}<|im_end|>\n" for k in range(9))
     assert chat.render(table.where("false")).count() == 0
+    odd = spark.createDataFrame([(None, 0, "user", "x"), ("\0", 0, "user", "y"), ("none", 0, "user", "z")], table.schema)
+    assert {(r.conv_id, r.n_turns) for r in chat.render(odd).collect()} == {(None, 1), ("\0", 1), ("none", 1)}
 
 
 def test_classifier(spark, empty):
