@@ -149,27 +149,33 @@ def threshold_exceedance(
     return each.select(*keys, "_e.threshold_ms", "_e.exceeded", (F.col("_e.exceeded") / F.col("_n")).alias("ratio"))
 
 
-def topic_pairs(mappings: DataFrame, episode: Sequence[str], topics: Sequence[str], topic: str = "topic") -> DataFrame:
+def topic_pairs(mappings: DataFrame, episode: Sequence[str], topics: Sequence[str] = (), topic: str = "topic") -> DataFrame:
     """Skew between the selected times of every two streams at each target.
 
-    The streams of one target are folded into a map (a handful of entries), and
-    the listed pairs are read from it: one shuffle instead of a self-join.
+    The streams of one target are folded into an array (one entry a stream), and its
+    pairs are read from it: one shuffle instead of a self-join.  Listed ``topics`` come
+    first and in their order, any others follow by name; none is left out.  A target of
+    n streams has n(n-1)/2 pairs, by definition of the report.
     """
     episode = list(episode)
-    frame = mappings.groupBy(*episode, "target_index").agg(
-        F.map_from_entries(F.collect_list(F.struct(topic, "cleaned_time_ns"))).alias("_at")
-    )
-    pairs = [
-        F.struct(
-            F.lit(left).alias("left_topic"),
-            F.lit(right).alias("right_topic"),
-            (F.try_element_at("_at", F.lit(left)) - F.try_element_at("_at", F.lit(right))).alias("skew_ns"),
+    place = F.lit(len(topics))
+    for rank, name in enumerate(topics):
+        place = F.when(F.col(topic) == name, F.lit(rank)).otherwise(place)
+    chosen = F.struct(place.alias("place"), F.col(topic).alias("topic"), F.col("cleaned_time_ns").alias("at"))
+    timed = mappings.filter(F.col("cleaned_time_ns").isNotNull())
+    frame = timed.groupBy(*episode, "target_index").agg(F.array_sort(F.collect_list(chosen)).alias("_at"))
+
+    def pairs_of(left: Column, at: Column) -> Column:
+        later = F.slice("_at", at + 2, F.size("_at"))
+        return F.transform(
+            later,
+            lambda right: F.struct(
+                left["topic"].alias("left_topic"), right["topic"].alias("right_topic"), (left["at"] - right["at"]).alias("skew_ns")
+            ),
         )
-        for i, left in enumerate(topics)
-        for right in topics[i + 1 :]
-    ]
-    rows = frame.select(*episode, "target_index", F.explode(F.array(*pairs)).alias("_pair"))
-    return rows.select(*episode, "target_index", "_pair.*").filter(F.col("skew_ns").isNotNull())
+
+    rows = frame.select(*episode, "target_index", F.explode(F.flatten(F.transform("_at", pairs_of))).alias("_pair"))
+    return rows.select(*episode, "target_index", "_pair.*")
 
 
 def diagnostic_metrics(mappings: DataFrame, samples: DataFrame, fps: float, prefix: str = "/resampling/") -> DataFrame:

@@ -161,44 +161,43 @@ def converted_vectors(spark, folder):
 
 _STATE = ("click", "error")
 _ACTION = ("purchase", "signup")
+_GROUPS = {"state": _STATE, "action": _ACTION, "image": ("view",)}
 
 
 @query(
     "combined_residual",
-    f"""{streams._GRID_SQL}, c AS (SELECT episode, target_index, CASE WHEN topic IN ('click', 'error') THEN 'state' WHEN topic IN ('purchase', 'signup') THEN 'action' END AS grp, max(abs(residual_ms)) AS r FROM mapped GROUP BY ALL)
+    f"""{streams._GRID_SQL}, c AS (SELECT episode, target_index, CASE WHEN topic IN ('click', 'error') THEN 'state' WHEN topic IN ('purchase', 'signup') THEN 'action' WHEN topic = 'view' THEN 'image' END AS grp, max(abs(residual_ms)) AS r FROM mapped GROUP BY ALL)
  SELECT grp AS stream_group, round(quantile_cont(r, 0.5), 6) AS median_abs_ms, round(quantile_cont(r, 0.95), 6) AS p95_abs_ms, round(max(r), 6) AS max_abs_ms FROM c WHERE grp IS NOT NULL GROUP BY grp""",
 )
 def combined_residual(spark, folder):
-    groups = {"state": _STATE, "action": _ACTION}
-    combined = conversion.combined_residuals(streams.mappings(spark, folder), ["episode"], groups)
+    combined = conversion.combined_residuals(streams.mappings(spark, folder), ["episode"], _GROUPS)
     return settle(conversion.residual_report(combined, ["stream_group"], bound=streams.target_bound(spark, folder)))
 
 
 @query(
     "residual_gate",
-    f"""{streams._GRID_SQL}, c AS (SELECT episode, target_index, CASE WHEN topic IN ('click', 'error') THEN 'state' WHEN topic IN ('purchase', 'signup') THEN 'action' END AS grp, max(abs(residual_ms)) AS r FROM mapped GROUP BY ALL)
- SELECT grp AS stream_group, round(max(r), 6) AS max_abs_ms FROM c WHERE grp IS NOT NULL GROUP BY episode, grp HAVING max(r) > CASE grp WHEN 'state' THEN 1000000.0 ELSE 100000000.0 END""",
+    f"""{streams._GRID_SQL}, c AS (SELECT episode, target_index, CASE WHEN topic IN ('click', 'error') THEN 'state' WHEN topic IN ('purchase', 'signup') THEN 'action' WHEN topic = 'view' THEN 'image' END AS grp, max(abs(residual_ms)) AS r FROM mapped GROUP BY ALL)
+ SELECT grp AS stream_group, round(max(r), 6) AS max_abs_ms FROM c WHERE grp IS NOT NULL GROUP BY episode, grp HAVING max(r) > CASE grp WHEN 'state' THEN 1000000.0 WHEN 'action' THEN 100000000.0 ELSE 500000.0 END""",
 )
 def residual_gate(spark, folder):
-    groups = {"state": _STATE, "action": _ACTION}
-    combined = conversion.combined_residuals(streams.mappings(spark, folder), ["episode"], groups)
-    rejected = conversion.residual_gate(combined, ["episode"], {"state": 1_000_000.0, "action": 100_000_000.0})
+    combined = conversion.combined_residuals(streams.mappings(spark, folder), ["episode"], _GROUPS)
+    rejected = conversion.residual_gate(combined, ["episode"], {"state": 1_000_000.0, "action": 100_000_000.0, "image": 500_000.0})
     return settle(rejected.drop("episode"))
 
 
 @query(
     "aligned_frames",
-    f"""{streams._GRID_SQL} SELECT target_index, max(s.value) FILTER (m.topic = 'click') AS click, max(s.value) FILTER (m.topic = 'view') AS "view" FROM mapped m
+    f"""{streams._GRID_SQL} SELECT target_index, {", ".join(f"max(s.value) FILTER (m.topic = '{t}') AS {t}_value" for t in streams.TOPICS)} FROM mapped m
  JOIN stream s ON m.topic = s.topic AND m.source_index = s.topic_index GROUP BY m.episode, target_index""",
 )
 def aligned_frames(spark, folder):
-    """Values of two streams side by side at every target: the frame assembly."""
+    """Values of all streams side by side at every target: the frame assembly."""
     from telemark.operators.align import align_to_grid, common_spans, integer_grid
 
     line = streams._episodes(spark, folder)
     spans = integer_grid(common_spans(line.df, ["episode"], "topic", "time_ns"), streams.FPS)
     rows = align_to_grid(line, spans, ["episode"], "time_ns", {"source_index": F.col("topic_index"), "value": F.col("value")})
-    return conversion.side_by_side(rows, ["episode"], {"click": "click", "view": "view"}, "value").drop("episode")
+    return conversion.side_by_side(rows, ["episode"], {f"{t}_value": t for t in streams.TOPICS}, "value").drop("episode")
 
 
 # --- labels and risks ---

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from telemark.config import ACTION_SIGNAL, JointMotion, SpikeRepair
 from telemark.functions.scalar import canonical_joint
-from telemark.operators import motion, quality, replay, spikes
+from telemark.operators import exposure, motion, quality, replay, shared_scan, spikes
 from telemark.plans.registry import Registry
-from telemark.plans.tables import ARMS, JOINTS, JOINTS_SQL, ROBOT_SQL, joint_frames, read, robot_frames, row_count, settle
+from telemark.plans.tables import ARMS, JOINTS, JOINTS_SQL, PICTURES_SQL, ROBOT_SQL, joint_frames, light, read, robot_frames, row_count, settle
 
 _registry = Registry()
 query, QUERIES, ORACLES = _registry.query, _registry.queries, _registry.oracles
@@ -502,3 +502,59 @@ def _upsampled(spark, folder, mode):
     frames = robot_frames(spark, folder).derive({"targets": F.slice("action", 1, ARMS).cast("array<double>")})
     dense = replay.upsample(frames, "targets", "frame", "time_s", step_s=0.01, mode=mode)
     return settle(dense.select("episode", "frame", "substep", F.posexplode("target").alias("joint", "target")), 4)
+
+
+# --- operators that share one scan ---
+
+_SHARED_SQL = f"""{_EVENTS_SQL}, {PICTURES_SQL},
+ stp AS (SELECT episode, frame, max(step_deg) AS m FROM kin WHERE joint < 14 AND step_deg IS NOT NULL GROUP BY ALL)
+ SELECT episode, 'motion' AS operator, kind AS measure, count(*)::DOUBLE AS amount FROM ev GROUP BY ALL
+ UNION ALL SELECT episode, 'action', 'jumps', count(*) FILTER (m > 25)::DOUBLE FROM stp GROUP BY ALL
+ UNION ALL SELECT episode, 'action', 'largest_step_deg', round(max(m), 4) FROM stp GROUP BY ALL
+ UNION ALL SELECT camera, 'exposure', 'candidates', count(*) FILTER (candidate)::DOUBLE FROM judged GROUP BY ALL
+ UNION ALL SELECT camera, 'exposure', 'confirmed', count(*) FILTER (confirmed)::DOUBLE FROM judged GROUP BY ALL"""
+
+
+def _shared(spark, folder):
+    frames = joint_frames(spark, folder).derive({"light": light("vector")})
+    frames = frames.derive(exposure.luminance_metrics(F.col("light")))
+    operators = shared_scan.chosen(
+        {
+            "motion": {"vector": "values", "time": "time_s", "limits": limits(spark), "signal": SIGNAL, "config": MOTION},
+            "action": {"vector": "values"},
+            "exposure": {},
+        }
+    )
+    return shared_scan.shared_scan(frames, "frame", operators)
+
+
+@query("shared_scan", _SHARED_SQL)
+def shared_scan_measures(spark, folder):
+    """Motion, action and exposure operators on one scan and one shuffle of the frames."""
+    found = _shared(spark, folder)
+
+    def measure(rows, operator, name, amount):
+        return rows.select("episode", F.lit(operator).alias("operator"), name.alias("measure"), amount.cast("double").alias("amount"))
+
+    kinds = found["motion"]["events"].groupBy("episode", "kind").agg(F.count("*").alias("n"))
+    steps, cameras = found["action"]["steps"], found["exposure"]["cameras"]
+    merged = measure(kinds, "motion", F.col("kind"), F.col("n"))
+    for more in (
+        measure(steps, "action", F.lit("jumps"), F.col("jump_count")),
+        measure(steps, "action", F.lit("largest_step_deg"), F.round("max_arm_action_step_deg", 4)),
+        measure(cameras, "exposure", F.lit("candidates"), F.col("candidate_frames")),
+        measure(cameras, "exposure", F.lit("confirmed"), F.col("confirmed_frames")),
+    ):
+        merged = merged.unionByName(more)
+    return merged
+
+
+@query(
+    "shared_verdicts",
+    f"""{_EVENTS_SQL}, {PICTURES_SQL}, worst AS (SELECT episode, count(*) FILTER (severity = 'fail') AS f, count(*) AS n FROM ev GROUP BY ALL)
+ SELECT e.episode, 'motion' AS operator, CASE WHEN f > 0 THEN 'fail' WHEN n > 0 THEN 'warning' ELSE 'pass' END AS status
+ FROM (SELECT DISTINCT episode FROM frames) e LEFT JOIN worst USING (episode)
+ UNION ALL SELECT camera, 'exposure', CASE WHEN count(*) FILTER (confirmed) > 0 THEN 'warning' ELSE 'pass' END FROM judged GROUP BY ALL""",
+)
+def shared_verdicts(spark, folder):
+    return shared_scan.verdicts(_shared(spark, folder), ["episode"])

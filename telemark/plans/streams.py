@@ -458,7 +458,7 @@ TOPICS = ("click", "error", "purchase", "signup", "view")
  FROM x GROUP BY ALL""",
 )
 def pairwise_skew(spark, folder):
-    pairs = resample.topic_pairs(mappings(spark, folder), ["episode"], TOPICS)
+    pairs = resample.topic_pairs(mappings(spark, folder), ["episode"])
     return settle(resample.residual_stats(pairs, ["left_topic", "right_topic"], to_ms(F.col("skew_ns")), bound=target_bound(spark, folder)))
 
 
@@ -470,7 +470,7 @@ def pairwise_skew(spark, folder):
  SELECT row_number() OVER (ORDER BY abs_p95_ms DESC, left_topic, right_topic) AS place, * FROM q ORDER BY place LIMIT 5""",
 )
 def worst_pairs(spark, folder):
-    pairs = resample.topic_pairs(mappings(spark, folder), ["episode"], TOPICS)
+    pairs = resample.topic_pairs(mappings(spark, folder), ["episode"])
     size = F.abs(to_ms(F.col("skew_ns")))
     wanted = {"a": (size, {"abs_p95_ms": 0.95})}
     ranked = settle(summarise(pairs, ["left_topic", "right_topic"], [], wanted, bound=target_bound(spark, folder)))
@@ -544,6 +544,38 @@ def missing_required_topics(spark, folder):
     return missing_topics(seen, ["episode"], TOPICS)
 
 
+@query(
+    "missing_topics_by_day",
+    """WITH seen AS (SELECT DISTINCT user_id || ' ' || strftime(ts, '%Y-%m-%d') AS episode, event_type AS topic FROM events)
+ SELECT e.episode, t.topic FROM (SELECT DISTINCT episode FROM seen) e, (SELECT DISTINCT topic FROM seen) t
+ WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.episode = e.episode AND s.topic = t.topic)""",
+)
+def missing_topics_by_day(spark, folder):
+    """Recordings of one user and day: most of them lack some required topic."""
+    from telemark.sources.episodes import missing_topics
+
+    return missing_topics(_daily(spark, folder), ["episode"], TOPICS)
+
+
+def _daily(spark, folder):
+    name = F.concat_ws(" ", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd"))
+    rows = read(spark, folder, "events")
+    return rows.select(name.alias("episode"), F.col("event_type").alias("topic"), "event_id", "ts")
+
+
+@query(
+    "short_streams_by_day",
+    """SELECT user_id || ' ' || strftime(ts, '%Y-%m-%d') AS episode, event_type AS topic, count(*) AS samples, 0 AS nonincreasing,
+ 'fewer than two samples' AS reason FROM events GROUP BY ALL HAVING count(*) < 2""",
+)
+def short_streams_by_day(spark, folder):
+    """Streams of one user and day with a single sample: too short to align."""
+    from telemark.functions.sequence import track
+
+    rows = _daily(spark, folder).withColumn("time_ns", F.col("event_id"))
+    return resample.stream_violations(track(rows, ["episode", "topic"], ["event_id"], bound=_bound(spark, folder)), "time_ns")
+
+
 @query(
     "clean_alignment_ready",
     """SELECT user_id AS episode, event_type AS topic, count(*) AS samples, 'fewer than two samples' AS reason

@@ -208,13 +208,17 @@ def pictures(spark: SparkSession, folder: str) -> Track:
     )
     line = track(rows, ["camera"], ["vec_id"], bound=row_count(spark, folder, "embeddings"))
     line = carry(line, number="frame_index")
+    return line.derive({"light": light("e")})
+
+
+def light(vector: str) -> Column:
+    """Luminances of the 22 pixels whose colours a vector of 64 values holds."""
 
     def code(i: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(F.col("e"), F.least(i, F.lit(63))) * 1.2 + 0.80))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.get(F.col(vector), F.least(i, F.lit(63))) * 1.2 + 0.80))
 
     spots = F.sequence(F.lit(0), F.lit(21))
-    light = F.transform(spots, lambda i: luminance(code(i * 3), code(i * 3 + 1), code(i * 3 + 2)))
-    return line.derive({"light": light})
+    return F.transform(spots, lambda i: luminance(code(i * 3), code(i * 3 + 1), code(i * 3 + 2)))
 
 
 PICTURES_SQL = """
