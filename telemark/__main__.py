@@ -17,7 +17,7 @@ from telemark.sources.annotations import read_annotations
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="telemark")
     sub = parser.add_subparsers(dest="job", required=True)
-    for name in ("clean", "resample", "analyze-resampling", "convert", "audit", "repair-spikes", "quality"):
+    for name in ("clean", "resample", "analyze-resampling", "convert", "audit", "repair-spikes", "quality", "operators", "jump-evidence"):
         job = sub.add_parser(name)
         job.add_argument("source")
         job.add_argument("target", help="folder for results and reports")
@@ -34,6 +34,13 @@ def _parser() -> argparse.ArgumentParser:
         if name in ("convert", "quality"):
             job.add_argument("--annotations", help="JSON object of episode settings")
             job.add_argument("--task", default="")
+        if name == "operators":
+            job.add_argument("--vector", default="action", help="vector of a converted dataset")
+            job.add_argument("--operators", nargs="+", default=["motion", "action"])
+            job.add_argument("--urdf", help="robot description with joint limits")
+            job.add_argument("--episodes", nargs="+", type=int)
+        if name == "jump-evidence":
+            job.add_argument("--topic", default=contract.LEADER_JOINTS)
         if name == "repair-spikes":
             job.add_argument("--topic", default=contract.FOLLOWER_JOINTS)
             job.add_argument("--joint-prefix", default="arm_")
@@ -65,6 +72,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "quality":
         annotations = read_annotations(spark, args.annotations) if args.annotations else None
         _report(jobs.inspect_quality(spark, args.source, annotations=annotations, config=load_pipeline_config(args.config), task=args.task), args)
+    elif args.job == "operators":
+        urdf = "\n".join(r.value for r in spark.read.text(args.urdf, wholetext=True).collect()) if args.urdf else None
+        options = {"chosen": args.operators, "vector": args.vector, "urdf": urdf, "episodes": args.episodes}
+        found = jobs.inspect_converted(spark, args.source, load_operator_config(args.config), **options)
+        _report({f"{name}/{table}": rows for name, tables in found.items() for table, rows in tables.items()}, args)
+    elif args.job == "jump-evidence":
+        _report(jobs.jump_evidence(spark, args.source, topic=args.topic), args)
     else:
         config = SpikeRepair(**{f.name: getattr(args, f.name) for f in dataclasses.fields(SpikeRepair)})
         target = None if args.dry_run else args.target
@@ -73,9 +87,11 @@ def main(argv: list[str] | None = None) -> None:
 
 def _report(tables, args) -> None:
     for name, table in tables.items():
+        if name.split("/")[-1] in ("events", "gap_events", "jumps"):
+            table = reports.in_event_order(table)
         reports.write_csv(table, f"{args.target}/{name}", overwrite=args.overwrite)
-    for name in ("status", "episodes", "streams"):
-        if name in tables:
+    for name in tables:
+        if name.split("/")[-1] in ("status", "episodes", "streams"):
             text = reports.markdown_table(tables[name], [F.col(tables[name].columns[0])])
             reports.write_text(f"{args.target}/{name}.md", f"# {name}\n\n{text}")
 

@@ -321,3 +321,19 @@ def _edges(source: Track, flag: Column, index: str) -> Track:
     closes = F.col("_flag") & F.coalesce(F.col("_will") - 1 != F.col(index), F.lit(True))
     marked = marked.derive({"_open": opens, "_close": closes})
     return replace(marked, df=marked.df.drop("_was", "_will"))
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Zero-based row numbers over a whole table, in ``order`` (which must tell all rows apart).
+
+    Rows are dealt by ranges of ``order`` and written once, so that every range knows its
+    rows for good; the counts of the ranges, one row each, carry the numbers forward.
+    """
+    order = list(order)
+    dealt = durable(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    placed = dealt.withColumn(name, inside).join(F.broadcast(starts), "_range")  # one row a range
+    return placed.withColumn(name, (F.col("_start") + F.col(name)).cast("bigint")).drop("_range", "_start")

@@ -23,7 +23,7 @@ from telemark.config import (
 )
 from telemark.functions.scalar import columns_with_prefix, to_ms, topic_category
 from telemark.functions.sequence import track
-from telemark.operators import conversion, exposure, images, motion, quality, repair, resample, spikes, timeline
+from telemark.operators import conversion, exposure, images, motion, quality, repair, resample, shared_scan, spikes, timeline
 from telemark.sources import cameras, dataset, mcap, mcap_sink, reports
 from telemark.sources.durable import durable
 from telemark.sources.episodes import missing_topics
@@ -567,3 +567,35 @@ def inspect_motion(frames: DataFrame, names: Sequence[str], vector: str, limits:
         "status": motion.motion_status(events, line.df, keys),
         "joints": motion.joint_distributions(cells, keys),
     }
+
+
+def inspect_converted(
+    spark: SparkSession,
+    root: str,
+    operators: OperatorConfig | None = None,
+    *,
+    chosen: Sequence[str] = ("motion", "action"),
+    vector: str = "action",
+    urdf: str | None = None,
+    joints: int = contract.ARM_JOINTS,
+    max_step_deg: float = 25.0,
+    episodes: Sequence[int] | None = None,
+) -> dict[str, dict[str, DataFrame]]:
+    """Chosen operators on a converted dataset, all from one scan of its frames; ``urdf`` is a robot description."""
+    config = operators or OperatorConfig()
+    keys = ["episode_index"]
+    if episodes is not None:
+        dataset.read_episodes(spark, root, episodes)
+    frames = dataset.read_frames(spark, root, [vector], episodes)
+    _stop_if_any(dataset.broken_episodes(frames), "episodes with gaps in frames or clock")
+    names = dataset.feature_names(dataset.read_json(f"{root}/meta/info.json"), vector, joints)[:joints]
+    arm = F.slice(F.col(f"`{vector}`"), 1, joints).cast("array<double>")
+    line = track(frames.select(*keys, "frame_index", F.col("timestamp").cast("double").alias("time_s"), arm.alias("arm")), keys, ["frame_index"])
+    _stop_if_any(motion.motion_frames_problem(line, "arm", "time_s"), "episodes that cannot be judged")
+    signal = config.joint_motion.action if vector == "action" else config.joint_motion.state
+    settings = {
+        "motion": {"vector": "arm", "time": "time_s", "limits": motion.urdf_limits(spark, urdf, names, signal), "signal": signal, "config": config.joint_motion},
+        "action": {"vector": "arm", "limit_deg": max_step_deg, "joints": joints},
+    }
+    made = shared_scan.chosen({name: settings.get(name, {}) for name in chosen})
+    return shared_scan.shared_scan(line, "frame_index", made)

@@ -87,11 +87,15 @@ def candidate_flags(config: Exposure | None = None) -> dict[str, Column]:
 
 def confirmed_frames(frames: Track, frame: str, config: Exposure | None = None) -> DataFrame:
     """Frames with their candidate run and whether it is long enough to count."""
+    return confirmed_runs(frames, frame, config).rows()
+
+
+def confirmed_runs(frames: Track, frame: str, config: Exposure | None = None) -> Track:
     config = config or Exposure()
     runs = run_extent(frames, F.col("candidate"), frame)
     length = F.col("run_last") - F.col("run_first") + 1
     confirmed = F.coalesce(length >= config.minimum_consecutive_frames, F.lit(False))
-    return runs.derive({"confirmed": confirmed}).rows()
+    return runs.derive({"confirmed": confirmed})
 
 
 def exposure_segments(confirmed: DataFrame, keys: Sequence[str], frame: str, carried: Sequence[str] = ()) -> DataFrame:

@@ -37,15 +37,27 @@ def joint_cells(
     ``seconds_between(later, earlier)`` turns two values of ``time`` into seconds.
     ``entry``/``exit``/``recovery`` describe the three frames around this one.
     """
-    looked = carry(
+    looked = look_around(frames, values, time)
+    return unfolded_cells(looked.df, frames.keys, values, frame, seconds_between, time, radians=radians, keep=keep)
+
+
+def look_around(frames: Track, values: str, time: str) -> Track:
+    """Vectors and times of the two frames before each frame and of the one after."""
+    return carry(
         frames,
         prev={"_v1": F.col(values), "_t1": F.col(time)},
         prev2={"_v2": F.col(values), "_t2": F.col(time)},
         next={"_vn": F.col(values), "_tn": F.col(time)},
-    ).df
+    )
+
+
+def unfolded_cells(
+    looked: DataFrame, keys: Sequence[str], values: str, frame: str, seconds_between, time: str, *, radians: bool, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Cells of frames that know their neighbours (see ``joint_cells``)."""
     # Neighbours are missing at the ends, so they are looked up by position.
     cells = looked.select(
-        *frames.keys,
+        *keys,
         *keep,
         F.col(frame).alias("frame"),
         F.col(time).alias("_t"),
@@ -59,7 +71,7 @@ def joint_cells(
     velocity, velocity1 = (v - v1) / F.nullif(dt, F.lit(0.0)), (v1 - v2) / F.nullif(dt1, F.lit(0.0))
     acceleration = (velocity - velocity1) / F.nullif((dt1 + dt) / 2.0, F.lit(0.0))
     return cells.select(
-        *frames.keys,
+        *keys,
         *keep,
         "frame",
         F.col("_t").alias("time"),

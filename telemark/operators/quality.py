@@ -63,9 +63,14 @@ def action_steps(frames: Track, action: str, frame: str, joints: int = contract.
 
     Converted vectors are single precision, and so is the difference.
     """
-    looked = carry(frames, prev={"_a1": F.col(action)}).df.filter(F.col("_a1").isNotNull())
+    return steps_between(carry(frames, prev={"_a1": F.col(action)}).df, frames.keys, action, frame, joints)
+
+
+def steps_between(looked: DataFrame, keys: Sequence[str], action: str, frame: str, joints: int) -> DataFrame:
+    """The steps of frames that know the vector before theirs as ``_a1``."""
+    looked = looked.filter(F.col("_a1").isNotNull())
     step = F.zip_with(F.slice(action, 1, joints), F.slice("_a1", 1, joints), lambda a, b: F.abs(a - b))
-    return looked.select(*frames.keys, F.col(frame).alias("output_frame"), F.degrees(F.array_max(step)).alias("max_joint_step_deg"))
+    return looked.select(*keys, F.col(frame).alias("output_frame"), F.degrees(F.array_max(step)).alias("max_joint_step_deg"))
 
 
 def action_quality(steps: DataFrame, keys: Sequence[str], limit_deg: float) -> DataFrame:

@@ -1,9 +1,10 @@
 """Quality operators that share one scan of the frames.
 
-An operator says which columns it needs and turns ordered frames into named tables.  The runner reads
-the columns that any of the chosen operators needs, lays them out by stream and order once (one scan,
-one shuffle, one sort) and cuts the plan there with a checkpoint.  A checkpoint of a DataFrame keeps
-its partitioning and order, so the windows and groupings of the operators need no further shuffle.
+An operator says which columns it needs, looks along a stream once (neighbours, runs), and makes its
+tables from frames that know what it saw.  The runner reads the columns that any chosen operator
+needs and chains the looks.  All of them share keys and order, so Spark plans one scan and one
+shuffle for them together.  The frames are then written once, what an operator saw in a column of
+its own, and each operator reads only its part.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Protocol, runtime_checkable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemark.config import ACTION_SIGNAL, Exposure, JointMotion, JointSignal
-from telemark.functions.sequence import Track
+from telemark.functions.sequence import Track, carry
 from telemark.operators import exposure, motion, quality
-from telemark.sources.durable import checkpointed
+from telemark.sources.durable import durable
 
 
 @runtime_checkable
@@ -29,8 +30,11 @@ class QualityOperator(Protocol):
     def columns(self) -> tuple[str, ...]:
         """Columns it reads, beside keys, order and frame number."""
 
-    def tables(self, frames: Track, frame: str) -> dict[str, DataFrame]:
-        """Its results on frames in order; every table carries the keys."""
+    def look(self, frames: Track, frame: str) -> Track:
+        """Add what it needs to know of other frames of the stream."""
+
+    def tables(self, looked: DataFrame, keys: list[str], frame: str, largest: int | None) -> dict[str, DataFrame]:
+        """Its results; every table carries the keys.  ``largest`` bounds the rows of one stream."""
 
 
 OPERATORS: dict[str, Callable[..., QualityOperator]] = {}
@@ -61,17 +65,33 @@ def needed(operators: dict[str, QualityOperator]) -> list[str]:
     return list(dict.fromkeys(c for one in operators.values() for c in one.columns))
 
 
-def shared_scan(frames: Track, frame: str, operators: dict[str, QualityOperator]) -> dict[str, dict[str, DataFrame]]:
-    """Tables of every operator, all from one scan and one shuffle of ``frames``."""
+def _named(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in names]
+
+
+def looked_frames(frames: Track, frame: str, operators: dict[str, QualityOperator]) -> DataFrame:
+    """The frames with one column per operator of what it saw: one scan, one shuffle."""
     absent = sorted(set(needed(operators)) - set(frames.df.columns))
     if absent:
         raise ValueError(f"frames lack the columns {absent}")
-    groups = [*frames.keys, *frames.segments]
-    rows = frames.df.select(*dict.fromkeys([*groups, *frames.order, frame, *needed(operators)]))
-    if frames.segments or not frames.looked:  # otherwise the look has laid them out
-        rows = rows.repartition(*groups).sortWithinPartitions(*groups, *frames.order)
-    line = replace(frames, df=checkpointed(rows), looked=False)
-    return {name: one.tables(line, frame) for name, one in operators.items()}
+    base = dict.fromkeys([*frames.keys, *frames.segments, *frames.order, frame, *needed(operators)])
+    line = replace(frames, df=frames.df.select(*_named(base)))
+    for name, one in operators.items():
+        before = line.df.columns
+        line = one.look(line, frame)
+        seen = [c for c in line.df.columns if c not in before]
+        line = replace(line, df=line.df.select(*_named(before), F.struct(*_named(seen)).alias(f"_{name}")))
+    return line.rows()
+
+
+def shared_scan(frames: Track, frame: str, operators: dict[str, QualityOperator]) -> dict[str, dict[str, DataFrame]]:
+    """Tables of every operator, all from one scan and one shuffle of ``frames``."""
+    rows = durable(looked_frames(frames, frame, operators))
+    keys, found = list(frames.keys), {}
+    for name, one in operators.items():
+        own = rows.select(*_named(dict.fromkeys([*keys, *frames.order, frame, *one.columns])), f"_{name}.*")
+        found[name] = one.tables(own, keys, frame, frames.largest)
+    return found
 
 
 def _elapsed(later, earlier):
@@ -93,14 +113,16 @@ class MotionOperator:
     def columns(self) -> tuple[str, ...]:
         return (self.vector, self.time)
 
-    def tables(self, frames: Track, frame: str) -> dict[str, DataFrame]:
-        keys = list(frames.keys)
-        cells = motion.joint_cells(frames, self.vector, frame, _elapsed, self.time, radians=True)
+    def look(self, frames: Track, frame: str) -> Track:
+        return motion.look_around(frames, self.vector, self.time)
+
+    def tables(self, looked: DataFrame, keys: list[str], frame: str, largest: int | None) -> dict[str, DataFrame]:
+        cells = motion.unfolded_cells(looked, keys, self.vector, frame, _elapsed, self.time, radians=True)
         events = motion.motion_events(cells, self.limits, keys, self.signal, self.config)
         return {
             "events": events,
-            "status": motion.motion_status(events, frames.df, keys),
-            "joints": motion.joint_distributions(cells, keys, bound=frames.largest),
+            "status": motion.motion_status(events, looked, keys),
+            "joints": motion.joint_distributions(cells, keys, bound=largest),
         }
 
 
@@ -117,13 +139,15 @@ class ActionOperator:
     def columns(self) -> tuple[str, ...]:
         return (self.vector,)
 
-    def tables(self, frames: Track, frame: str) -> dict[str, DataFrame]:
-        keys = list(frames.keys)
-        steps = quality.action_steps(frames, self.vector, frame, self.joints)
+    def look(self, frames: Track, frame: str) -> Track:
+        return carry(frames, prev={"_a1": F.col(f"`{self.vector}`")})
+
+    def tables(self, looked: DataFrame, keys: list[str], frame: str, largest: int | None) -> dict[str, DataFrame]:
+        steps = quality.steps_between(looked, keys, self.vector, frame, self.joints)
         return {
             "steps": quality.action_quality(steps, keys, self.limit_deg),
             "largest": quality.largest_jumps(steps, keys),
-            "ranges": quality.vector_ranges(frames.df, keys, [self.vector]),
+            "ranges": quality.vector_ranges(looked, keys, [self.vector]),
         }
 
 
@@ -139,14 +163,15 @@ class ExposureOperator:
     def columns(self) -> tuple[str, ...]:
         return tuple(self.prefix + name for name in exposure.METRICS)
 
-    def tables(self, frames: Track, frame: str) -> dict[str, DataFrame]:
-        keys = list(frames.keys)
+    def look(self, frames: Track, frame: str) -> Track:
         line = frames.derive({name: F.col(self.prefix + name) for name in exposure.METRICS} if self.prefix else {})
-        confirmed = exposure.confirmed_frames(line.derive(exposure.candidate_flags(self.config)), frame, self.config)
+        return exposure.confirmed_runs(line.derive(exposure.candidate_flags(self.config)), frame, self.config)
+
+    def tables(self, looked: DataFrame, keys: list[str], frame: str, largest: int | None) -> dict[str, DataFrame]:
         return {
-            "segments": exposure.exposure_segments(confirmed, keys, frame),
-            "cameras": exposure.exposure_summary(confirmed, keys, bound=frames.largest),
-            "status": exposure.exposure_status(confirmed, keys),
+            "segments": exposure.exposure_segments(looked, keys, frame),
+            "cameras": exposure.exposure_summary(looked, keys, bound=largest),
+            "status": exposure.exposure_status(looked, keys),
         }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from telemark.config import ACTION_SIGNAL, JointMotion, SpikeRepair
 from telemark.functions.scalar import canonical_joint
+from telemark.functions.sequence import numbered
 from telemark.operators import exposure, motion, quality, replay, shared_scan, spikes
 from telemark.plans.registry import Registry
 from telemark.plans.tables import ARMS, JOINTS, JOINTS_SQL, PICTURES_SQL, ROBOT_SQL, joint_frames, light, read, robot_frames, row_count, settle
@@ -95,6 +96,16 @@ def joint_events(spark, folder):
     return settle(events(spark, folder))
 
 
+@query(
+    "ordered_events",
+    f"""{_EVENTS_SQL} SELECT row_number() OVER (ORDER BY episode, frame, joint, kind) - 1 AS place, episode, frame AS frame_index, joint AS joint_index, kind FROM ev""",
+)
+def ordered_events(spark, folder):
+    """All events numbered in the order of the report, without one task that sees them all."""
+    rows = events(spark, folder).select("episode", "frame_index", "joint_index", "kind")
+    return numbered(rows, ["episode", "frame_index", "joint_index", "kind"], "place")
+
+
 @query("event_counts", f"{_EVENTS_SQL} SELECT episode, kind, severity, count(*) AS events FROM ev GROUP BY ALL")
 def event_counts(spark, folder):
     return motion.event_counts(events(spark, folder), ["episode"])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemark import contract
-from telemark.functions.sequence import carry, track
+from telemark.functions.sequence import carry, numbered, track
 from telemark.sources.mcap import fetch, open_folder
 
 CHUNK_SIZE = 1000
@@ -23,15 +23,7 @@ FEATURE_NAMES = {
 def numbered_episodes(frames: DataFrame) -> DataFrame:
     """Consecutive ``episode_index`` by name.  One row per episode."""
     names = frames.groupBy("episode").agg(F.count("*").alias("length"))
-    keyed = names.withColumn("_all", F.lit(0)).withColumn("_h", F.dense_rank().over(_by_name()) - 1)
-    return keyed.select("episode", "length", F.col("_h").cast("bigint").alias("episode_index"))
-
-
-def _by_name():
-    from pyspark.sql.window import Window
-
-    # Over one row per episode, not over frames.
-    return Window.partitionBy("_all").orderBy("episode")
+    return numbered(names, ["episode"], "episode_index")
 
 
 def write_dataset(

@@ -34,12 +34,3 @@ def durable(df: DataFrame) -> DataFrame:
     path = scratch(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A checkpoint in shared storage: rows are kept whole, and with them partitioning and order."""
-    spark = df.sparkSession
-    folder = _folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()

@@ -23,6 +23,15 @@ def _flat(df: DataFrame) -> DataFrame:
     )
 
 
+EVENT_ORDER = ("episode", "episode_index", "topic", "frame_index", "joint_index", "kind")
+
+
+def in_event_order(df: DataFrame) -> DataFrame:
+    """Events by stream, frame, joint and kind; files in order of their names hold them in order."""
+    order = [c for c in EVENT_ORDER if c in df.columns]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+
+
 def write_csv(df: DataFrame, path: str, *, overwrite: bool = False) -> None:
     """CSV with a header, written by as many tasks as the rows need."""
     _flat(df).write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True)

@@ -187,6 +187,11 @@ def test_clean_resample_convert(spark, recordings, tmp_path):
 
     report = jobs.inspect_motion(frames, names, "action", motion.urdf_limits(spark, None, names, ACTION_SIGNAL), ACTION_SIGNAL)
     assert {r.status for r in report["status"].collect()} == {"fail", "pass"}
+    shared = jobs.inspect_converted(spark, trained)
+    assert sorted(map(tuple, shared["motion"]["status"].collect())) == sorted(map(tuple, report["status"].select(shared["motion"]["status"].columns).collect()))
+    assert shared["motion"]["events"].count() == report["events"].count() > 0
+    with pytest.raises(ValueError, match="unknown operators"):
+        jobs.inspect_converted(spark, trained, chosen=["sound"])
     with pytest.raises(ValueError, match="not in the dataset"):
         dataset.read_episodes(spark, trained, [0, 9])
 
