@@ -342,6 +342,12 @@ def test_normal_window_prefers_motion(spark):
     assert len(window) == 1 and window[0].start_frame >= 60 and window[0].motion_deg >= 4
 
 
+def test_normal_window_has_runs_to_choose_from(spark):
+    from telemark.plans import joints
+
+    assert joints.normal_window(spark, "/root/testdata/sf0.001").count() == 10  # an episode each
+
+
 # --- exposure, images ---
 
 @pytest.mark.parametrize(("pattern", "segments"), [("..11..", 0), (".111..", 1), ("11.1", 0), ("111111", 1), ("111.111", 2)])
