@@ -1,4 +1,8 @@
-"""Near copies by Jaccard similarity of five-word shingles: MinHash bands propose, exact sets decide.
+"""Near copies by Jaccard similarity of five-word shingles: SimHash and MinHash bands propose, exact sets decide.
+
+SimHash comes first, as in ``simhash``: fingerprints of two bits or fewer apart link through the anchors
+they share, and texts of one component meet.  Two texts of similarity 0.8 often lie further apart, so
+MinHash bands let the rest meet.
 
 Every text is the set of its runs of five words in lower case, as 64-bit hashes; a text of one to four
 words is one run.  Texts of equal sets collapse first.  Each set has 128 minima in 32 bands of four, and
@@ -6,7 +10,7 @@ two sets of similarity s meet in some band with probability 1 - (1 - s**4)**32:
 pairs at 0.8.  Texts that meet are linked only if the exact similarity of their sets reaches the
 threshold.
 
-Stored and shuffled are digests, sizes and bands; the shingles of texts that meet no other are never
+Stored and shuffled are digests, sizes, fingerprints and bands; the shingles of texts that meet no other are never
 kept.  Texts that do meet are read once more.  In each band every member is first compared with the
 smallest member, which joins most groups of near copies into one component at a link a member.  Only bands
 whose members are still in several components are searched further: all members outside the largest
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from telemark.llm.contamination import SHINGLE, shingle_hashes
 from telemark.llm.shared import durable
-from telemark.llm.simhash import components
+from telemark.llm.simhash import components, fingerprint, groups
 
 SIMILARITY = 0.8
 BANDS = 32
@@ -73,14 +77,16 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest, size and bands of each text's set."""
+    """Digest, size and bands of each text's set, and the text's SimHash fingerprint."""
     known = Words()
     for whole in batches:
         for batch in (whole.slice(at, 1024) for at in range(0, whole.num_rows, 1024)):
-            sets = [shingles(t, known) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            sets = [shingles(t, known) for t in texts]
+            prints = pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
             others = [n for n in batch.schema.names if n != "text"]
-            made = [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), *made], [*others, "digest", "n", "bands"])
+            made = [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), prints]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), *made], [*others, "digest", "n", "bands", "fingerprint"])
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,10 +166,14 @@ def near_copies(docs: DataFrame, extra: tuple[str, ...] = (), block_shingles: in
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *extra))
     row = F.xxhash64("doc_id", "text")
     texts = durable(
-        docs.select("doc_id", *extra, row.alias("row"), "text").mapInArrow(_sketches, f"{kinds}, row long, digest binary, n long, bands array<long>"), "sketches"
+        docs.select("doc_id", *extra, row.alias("row"), "text").mapInArrow(_sketches, f"{kinds}, row long, digest binary, n long, bands array<long>, fingerprint long"), "sketches"
     )
     distinct = durable(texts.groupBy("digest").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("row").alias("row")), "distinct")
-    keyed = distinct.select("digest", "n", F.explode("bands").alias("band"))
+    banded = distinct.select("digest", "n", F.explode("bands").alias("band"))
+    # texts of one SimHash component meet under the hash of its name
+    named = durable(groups(texts.select("fingerprint").distinct()).select("fingerprint", F.xxhash64(F.lit("simhash"), "group").alias("band")), "simhash")
+    printed = texts.select("digest", "n", "fingerprint").distinct().join(named, "fingerprint")
+    keyed = banded.unionByName(printed.select("digest", "n", "band").distinct())
     met = keyed.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("digest", "n")).alias("least")).where("members > 1")
     members = durable(keyed.join(met.select("band", "least"), "band"), "members")
 

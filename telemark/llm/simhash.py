@@ -165,6 +165,15 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def groups(distinct: DataFrame) -> DataFrame:
+    """Rows of ``distinct`` (each ``fingerprint`` once) with ``group``, a fingerprint that names the component of links."""
+    copies = distinct.select("fingerprint").mapInArrow(_copies, "anchor long, fingerprint long")
+    links = copies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "a long, b long")
+    roots = components(links)
+    named = distinct.join(roots, distinct.fingerprint == roots.node, "left")
+    return named.withColumn("group", F.coalesce("root", "fingerprint")).drop("node", "root")
+
+
 def near_duplicates(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, ``extra`` columns, fingerprint (long), group (a fingerprint that names the component) and component_id."""
     prints = durable(
@@ -175,13 +184,7 @@ def near_duplicates(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
         "fingerprints",
     )
     distinct = durable(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct")
-    copies = distinct.select("fingerprint").mapInArrow(_copies, "anchor long, fingerprint long")
-    links = copies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "a long, b long")
-    roots = components(links)
-    named = distinct.join(roots, distinct.fingerprint == roots.node, "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("group")
-    )
-    named = durable(named, "groups")
+    named = durable(groups(distinct).select("fingerprint", "first_id", "group"), "groups")
     smallest = named.groupBy("group").agg(F.min("first_id").alias("component_id"))
     classes = named.select("fingerprint", "group").join(smallest, "group")
     return prints.join(classes, "fingerprint", "left")

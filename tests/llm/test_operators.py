@@ -379,6 +379,25 @@ def test_near_copies(spark, empty):
     assert corpus_pipeline.near_duplicates(spark, empty, "").count() == 0
 
 
+def test_near_copies_meet_by_simhash(spark, monkeypatch):
+    """The stage takes the components of SimHash as proposals, and the exact sets decide about them."""
+    import corpus_pipeline
+
+    rows = near_rows()
+    table = spark.createDataFrame([(k, t, "en", "src0", 0) for k, t in rows], DOCS)
+    want = sorted(map(min, brute_near_copies(rows)))
+    asked = []
+
+    def one_group(distinct):
+        asked.append({r.fingerprint % (1 << 64) for r in distinct.collect()})
+        return distinct.withColumn("group", F.lit(7).cast("long"))
+
+    monkeypatch.setattr(nearcopies, "groups", one_group)  # as if all texts had met
+    kept = corpus_pipeline.near_duplicates(spark, table, "")
+    assert sorted(r.doc_id for r in kept.collect()) == want
+    assert asked == [{simhash.fingerprint((t or "").encode()) for _, t in rows}]
+
+
 def test_pipeline_classifier_rejects(spark, tmp_path):
     import corpus_pipeline
 
