@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,10 @@ from pyspark.sql.window import Window
 from telemark.functions.sequence import fits_one_task, segment_rows, track
 from telemark.sources.durable import durable
 
+#: Rank error of the sketches (one in so many), and how far from a wanted rank its band reaches on either side.
+_ACCURACY = 5000
+_SLACK = 1e-3
+
 
 def summarise(
     df: DataFrame,
@@ -61,43 +66,63 @@ def summarise(
 def select_ranks(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, float]) -> DataFrame:
     """Percentiles of ``_v`` per group by locating the ranks they fall on.
 
-    Equal values collapse first; the distinct values are cut into value ranges,
-    and only the ranges that hold a wanted rank are looked at row by row.
+    Sketches enclose every wanted rank in a narrow band of values.  The rows below and inside each band
+    are counted, so the bands are known to hold the ranks (if one does not, all bands are opened); only
+    rows inside are shuffled.  There, equal values collapse first; the distinct values are cut into value
+    ranges, and only the ranges that hold a wanted rank are looked at row by row.
     """
     keys = list(keys)
-    counted = durable(df.filter(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count("*").alias("_c")))
-    ranges = track(counted, keys, ["_v"])
-    place = [*keys, *ranges.segments]
-    per_range = ranges.df.groupBy(*place).agg(F.sum("_c").alias("_in"))
-    along = Window.partitionBy(*keys).orderBy(*ranges.segments) if ranges.segments else Window.partitionBy(*keys)
-    before = (
-        F.coalesce(F.sum("_in").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        if ranges.segments
-        else F.lit(0).cast("bigint")
-    )
-    per_range = per_range.select(
-        *place, "_in", before.alias("_before"), F.sum("_in").over(Window.partitionBy(*keys)).alias("_n")
-    )
-    spots = [
-        rank
-        for fraction in wanted.values()
-        for rank in (
-            F.floor((F.col("_n") - 1) * F.lit(float(fraction))),
-            F.ceil((F.col("_n") - 1) * F.lit(float(fraction))),
+    values = durable(df.filter(F.col("_v").isNotNull()))
+    fractions = [float(f) for f in wanted.values()]
+    ends = [F.lit(min(max(f + side * _SLACK, 0.0), 1.0)) for f in fractions for side in (-1, 1)]
+    sketched = values.groupBy(*keys).agg(F.count("*").alias("_n"), F.percentile_approx("_v", F.array(*ends), _ACCURACY).alias("_p"))
+    bands = [(F.col("_p")[2 * k], F.col("_p")[2 * k + 1]) for k in range(len(fractions))]
+    # One row a group, written so that its size is known and joins with it move nothing.
+    sketched = durable(sketched)
+    sides = [c for k, (low, high) in enumerate(bands) for c in (F.count_if(F.col("_v") < low).alias(f"_b{k}"), F.count_if(F.col("_v") <= high).alias(f"_u{k}"))]
+    first = [F.first(c).alias(c) for c in ("_n", "_p")]
+    placed = durable(values.join(sketched, keys).groupBy(*keys).agg(*first, *sides))
+    ranks = [(F.floor((F.col("_n") - 1) * F.lit(f)), F.ceil((F.col("_n") - 1) * F.lit(f))) for f in fractions]
+    outside = [(low < F.col(f"_b{k}")) | (high >= F.col(f"_u{k}")) for k, (low, high) in enumerate(ranks)]
+    narrow = placed.filter(functools.reduce(lambda a, b: a | b, outside)).isEmpty()
+    tables = [
+        F.struct(
+            F.lit(k).alias("_band"),
+            (F.col(f"_b{k}") if narrow else F.lit(0).cast("bigint")).alias("_below"),
+            F.array_distinct(F.array(*ranks[k])).alias("_spots"),
+            bands[k][0].alias("_low"),
+            bands[k][1].alias("_high"),
         )
+        for k in range(len(fractions))
     ]
-    ranks = F.array_distinct(F.array(*spots))
-    held = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in")))
-    per_range = per_range.withColumn("_ranks", held).filter(F.size("_ranks") > 0).drop("_in")
+    spots = durable(placed.select(*keys, "_n", F.inline(F.array(*tables))))
+    group = [*keys, "_band"]
+    inside = values.join(spots.select(*group, "_low", "_high"), keys)
+    if narrow:
+        inside = inside.filter(F.col("_v").between(F.col("_low"), F.col("_high")))
+    counted = durable(inside.groupBy(*group, "_v").agg(F.count("*").alias("_c")))
+    ranges = track(counted, group, ["_v"])
+    place = [*group, *ranges.segments]
+    per_range = ranges.df.groupBy(*place).agg(F.sum("_c").alias("_in"))
+    if ranges.segments:
+        along = Window.partitionBy(*group).orderBy(*ranges.segments)
+        earlier = F.coalesce(F.sum("_in").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        per_range = per_range.withColumn("_earlier", earlier)
+    else:
+        per_range = per_range.withColumn("_earlier", F.lit(0).cast("bigint"))
+    per_range = per_range.join(spots.select(*group, "_n", "_below", "_spots"), group)
+    per_range = per_range.withColumn("_before", F.col("_earlier") + F.col("_below"))
+    held = F.filter("_spots", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in")))
+    per_range = per_range.withColumn("_ranks", held).filter(F.size("_ranks") > 0).select(*place, "_n", "_before", "_ranks")
     rows = ranges.df.join(per_range, place)
-    inside = Window.partitionBy(*place).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_upto", F.col("_before") + F.sum("_c").over(inside))
+    so_far = Window.partitionBy(*place).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_upto", F.col("_before") + F.sum("_c").over(so_far))
     rows = rows.withColumn(
         "_hit", F.explode(F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_c"))))
     )
-    # At most two ranks per wanted percentile remain for a group.
+    # At most two ranks per wanted percentile remain for a group; two bands may hold the same one.
     found = rows.groupBy(*keys).agg(
-        F.max("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_hit", "_v"))).alias("_at")
+        F.max("_n").alias("_n"), F.map_from_entries(F.collect_set(F.struct("_hit", "_v"))).alias("_at")
     )
     return found.select(
         *keys, *[_interpolate(F.col("_at"), F.col("_n"), fraction).alias(name) for name, fraction in wanted.items()]

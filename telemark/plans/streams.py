@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from telemark.config import HeadTimestamp
 from telemark.functions.quantile import summarise
 from telemark.functions.scalar import safe_name, slug, split_time, to_ms, to_seconds, topic_category
-from telemark.functions.sequence import Track, carry
+from telemark.functions.sequence import Track, carry, kept
 from telemark.operators import align, repair, resample, timeline
 from telemark.operators.motion import audit_gaps
 from telemark.operators.images import value_counts
@@ -668,7 +668,7 @@ def nominal_period(spark, folder):
  round(first(fitted), 3) AS fitted_period_ns FROM pred GROUP BY topic""",
 )
 def robust_fit(spark, folder):
-    line = camera(spark, folder)
+    line = kept(camera(spark, folder))
     fit = repair.robust_fit(line, "fr", "header_ns", repair.nominal_period(line, "header_ns", _ROBUST), _ROBUST)
     return settle(
         fit.select("topic", "period_ns", "anchor_count", F.round("anchor_ratio", 6).alias("anchor_ratio"), F.round("fitted_period_ns", 3).alias("fitted_period_ns"))

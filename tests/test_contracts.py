@@ -481,3 +481,29 @@ def test_alignment_spreads_one_episode(spark, small_segments, plain_joins):
     per_task = [r["count"] for r in mapped.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 800 and max(per_task) < 600
     assert mapped.filter("residual_ns <> 0 or source_index <> target_index").isEmpty()
+
+
+def test_ranks_are_looked_for_in_narrow_bands(spark, small_segments, monkeypatch):
+    from telemark.functions import quantile
+
+    r = random.Random(5)
+    values = [r.gauss(0, 1) for _ in range(20_000)] + [0.25] * 3_000
+    written = []
+    durable = quantile.durable
+    monkeypatch.setattr(quantile, "durable", lambda df: written.append(durable(df)) or written[-1])
+    df = spark.createDataFrame([("a", v) for v in values], "k string, _v double")
+    spark.conf.set("telemark.segmentRows", "4000")
+    found = quantile.select_ranks(df, ["k"], {"q50": 0.5, "q95": 0.95, "q0": 0.0, "q100": 1.0}).first()
+    for name, q in (("q50", 50), ("q95", 95), ("q0", 0), ("q100", 100)):
+        assert found[name] == pytest.approx(np.percentile(values, q), abs=1e-12)
+    (counted,) = [t for t in written if "_c" in t.columns]
+    assert counted.count() < 1_000  # of 20,000 distinct values
+
+
+def test_segmented_fit_is_written(spark, small_segments):
+    """A fit that is only planned is joined by shuffling all frames by stream."""
+    frames = line(spark, [k * 33 * MS for k in range(200)])
+    config = HeadTimestamp()
+    fit = repair.robust_fit(frames, "i", "t", repair.nominal_period(frames, "t", config), config)
+    assert "Aggregate" not in fit._jdf.queryExecution().executedPlan().toString()
+    assert fit.first().anchor_count == 200
