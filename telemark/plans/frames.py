@@ -9,7 +9,7 @@ from telemark.functions.scalar import clip
 from telemark.operators import conversion, detection, exposure, images, quality
 from telemark.plans import joints, streams
 from telemark.plans.registry import Registry
-from telemark.plans.tables import MESSAGES_SQL, PICTURES_SQL, ROBOT_SQL, pictures, read, robot_frames, row_count, settle, stream
+from telemark.plans.tables import MESSAGES_SQL, PICTURES_SQL, ROBOT_SQL, pictures, read, robot_frames, row_count, settle, stamp_ns, stream
 
 _registry = Registry()
 query, QUERIES, ORACLES = _registry.query, _registry.queries, _registry.oracles
@@ -372,21 +372,21 @@ def recording_roundtrip(spark, folder):
     from telemark.sources import mcap
 
     back = mcap.messages(mcap.scan(spark, _event_recordings(spark, folder), split_bytes=128 << 10))
-    full = mcap.fetch(back, "source_file", "cdr_file_offset", "cdr_size")
+    place = ["source_file", "cdr_file_offset", "cdr_size"]
+    full = mcap.fetch(back.select("episode", *_WIRE[:-1], *place), *place)
     return full.withColumn("body", F.decode("data", "utf-8")).select("episode", *_WIRE)
 
 
 def _event_recordings(spark, folder):
     """The folder of the events as recordings of four episodes."""
-    from telemark.plans.tables import messages
     from telemark.sources import mcap_sink
     from telemark.sources.durable import scratch
 
-    raw = read(spark, folder, "events").select("event_id", "props")
-    rows = messages(spark, folder).join(raw, F.col("record_index") == F.col("event_id")).select(
+    events = read(spark, folder, "events").filter(F.col("event_id").isNotNull())
+    rows = events.withColumns({"pub_ns": stamp_ns("ts"), "record_index": F.col("event_id")}).select(
         F.concat(F.lit("episode_"), (F.col("user_id") % 4).cast("string")).alias("episode"),
         F.col("record_index").alias("position"),
-        F.concat(F.lit("/"), F.col("topic")).alias("topic"),
+        F.concat(F.lit("/"), F.col("event_type")).alias("topic"),
         F.lit("event").alias("schema_name"),
         F.lit("jsonschema").alias("schema_encoding"),
         F.encode(F.lit('{"type":"object"}'), "utf-8").alias("schema_data"),

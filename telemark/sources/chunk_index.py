@@ -136,5 +136,5 @@ def scan(spark: SparkSession, root: str, index: str) -> DataFrame:
     """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(mcap.IndexedSource)
-    raw = spark.read.format("mcap_indexed").option("index", index).load(root)
+    raw = spark.read.format("mcap_indexed").option("index", index).option("tasks", 4 * spark.sparkContext.defaultParallelism).load(root)
     return raw.filter(F.col("ordinal").isNotNull()).drop("chunk_messages", "chunk_crc", "data_crc")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,3 +286,73 @@ def test_snapshots_notice_changes(spark, tmp_path):
     with (tmp_path / "episode_1" / "part_0.mcap").open("ab") as handle:
         handle.write(b"x")
     assert changed_files(before, file_snapshot(spark, str(tmp_path))).count() == 1
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    files = 300
+    rows = [("/t", "s", ORIGIN + n, b"{}") for n in range(10 * files)]
+    write_episode(tmp_path / "raw" / "episode_1", rows, files=files)
+    raw = mcap.scan(spark, str(tmp_path / "raw"), split_bytes=64)  # several ranges a file
+    spark.dataSource.register(mcap.McapSource)
+    reader = mcap.McapReader({"path": str(tmp_path / "raw"), "splitBytes": "64", "tasks": "8"})
+    shares = reader.partitions()
+    assert 8 <= len(shares) <= 16
+    assert sum(len(list(share.pieces)) for share in shares) > files
+    assert sum(b.num_rows for share in shares for b in reader.read(share)) == 12 * files  # a marker a chunk, an end a file
+    assert [r.record_index for r in mcap.messages(raw).orderBy("record_index").collect()] == list(range(10 * files))
+
+
+def test_batches_do_not_show_in_files(tmp_path):
+    maps = [None, [], [("a", "1")], [("a", "1"), ("b", "2")], [("b", "2"), ("a", "1")], [("a", "2")]]
+    messages = []
+    for n in range(500):
+        schema = (None, None, b"") if n % 7 == 0 else (f"s{n % 3}", "jsonschema", b"{}")
+        messages.append(mcap_sink.Message(f"/{n % 4}", schema, "json", tuple(sorted(maps[n % 6] or ())), n, n * 5, n * 3, b"x" * (n % 50)))
+    columns = {
+        "episode": ["e"] * 500, "part": [0] * 500, "position": list(range(500)), "topic": [m.topic for m in messages],
+        "schema_name": [m.schema[0] for m in messages], "schema_encoding": [m.schema[1] for m in messages],
+        "schema_data": [m.schema[2] or None for m in messages], "message_encoding": ["json"] * 500, "channel_metadata": [maps[n % 6] for n in range(500)],
+        "sequence": list(range(500)), "log_time_ns": [m.log_time for m in messages], "publish_time_ns": [m.publish_time for m in messages],
+        "data": [m.data for m in messages],
+    }
+    kinds = {"schema_data": pa.binary(), "data": pa.binary(), "channel_metadata": pa.map_(pa.string(), pa.string())}
+    whole = pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k)) for k, v in columns.items()})
+    want = b"".join(mcap_sink.recording(messages, None, 700))
+    for rows in (1, 33, 500):
+        batches = [whole.slice(at, rows) for at in range(0, 500, rows)]
+        runs = [run for batch in batches for *_, run in mcap_sink._runs(batch)]
+        assert b"".join(mcap_sink._file(runs, None, 700)) == want
+    # the format itself, message by message
+    body = b"".join(bytes(b) for b in _bodies(tmp_path, want))
+    numbers = [struct.unpack_from(mcap.ENVELOPE, data)[1:] + (bytes(data[mcap.ENVELOPE_BYTES :]),) for data in _contents(body)]
+    assert numbers == [tuple(m[4:]) for m in messages]
+
+
+def _bodies(folder, raw: bytes):
+    path = folder / "whole.mcap"
+    path.write_bytes(raw)
+    with path.open("rb") as handle:
+        for kind, at, length in mcap.outer_records(handle, str(path), len(raw)):
+            if kind == mcap.CHUNK:
+                yield mcap.chunk_body(handle, str(path), at, length)[0]
+
+
+def _contents(body: bytes):
+    layout = mcap.Layout(memoryview(body))
+    for code, start, size in zip(layout.code.tolist(), layout.start.tolist(), layout.size.tolist()):
+        if code == mcap.MESSAGE:
+            yield body[start : start + size]
+
+
+@pytest.mark.parametrize("ahead", [1, 1 << 16])
+def test_fetch_in_small_pieces(spark, tmp_path, monkeypatch, ahead):
+    monkeypatch.setattr(mcap, "AHEAD_BYTES", ahead)
+    monkeypatch.setattr(mcap, "FETCH_BYTES", 30)
+    content = bytes(range(256)) * 2
+    for name in "ab":
+        (tmp_path / name).write_bytes(content)
+    places = [(str(tmp_path / "ab"[n % 2]), (n * 37) % 400, n % 60) for n in range(100)] + [(None, 0, 0)]
+    rows = spark.createDataFrame(places, "path string, at long, size long").coalesce(1)
+    got = mcap.fetch(rows, "path", "at", "size").collect()
+    assert len(got) == 101
+    assert all(r.data is None if r.path is None else bytes(r.data) == content[r.at : r.at + r.size] for r in got)
