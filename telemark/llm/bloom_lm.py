@@ -45,6 +45,12 @@ SEGMENTS = 64
 SEGMENT_BITS = 1 << 23
 #: Segments that are broadcast at once: 64 MB at most.
 BLOCK_SEGMENTS = 64
+#: Segments that one task builds; each has fewer counts than its bits divided by ``BITS_PER_ENTRY``.
+TASK_SEGMENTS = 2
+#: Bytes of text that are hashed at once, keys that are looked up at once, and counts that are packed at once.
+BLOCK_BYTES = 1 << 18
+BLOCK_KEYS = 1 << 16
+BLOCK_COUNTS = 1 << 21
 #: Tokens whose look-ups travel together.
 FRAME = 1 << 18
 STRENGTH = 4.0  # K: how many pairs the single-token distribution is worth
@@ -79,9 +85,18 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts one after another, and where each text's begin (one place more at the end).
 
     A word's hash is a polynomial in its bytes, each replaced by a random number: all words of all texts
-    are hashed in columns.
+    are hashed in columns, a block of ``BLOCK_BYTES`` at a time, so that the columns stay in the cache.
     """
     lowered = [(text or b"").lower() for text in texts]
+    block = np.cumsum([0, *(len(t) + 1 for t in lowered)])[:-1] // BLOCK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lowered)]
+    parts = [_tokens(lowered[low:high]) for low, high in zip(cuts, cuts[1:])]
+    ends = np.cumsum([0, *(len(found) for found, _ in parts)])
+    bounds = [bounds[:-1] + end for (_, bounds), end in zip(parts, ends)]
+    return np.concatenate([found for found, _ in parts]), np.concatenate([*bounds, ends[-1:]]).astype(np.int64)
+
+
+def _tokens(lowered: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(b"\n".join([*lowered, b""]), np.uint8)
     space = _SPACE[raw]
     begins = ~space
@@ -94,7 +109,7 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     values = _LETTERS[letters] * powers[np.arange(len(letters)) - np.repeat(own[:-1], lengths)]
     hashes = mix(np.add.reduceat(values, own[:-1]) ^ lengths.astype(np.uint64) * _B) if len(starts) else np.empty(0, np.uint64)
     stops = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in lowered]))
-    return np.insert(hashes, stops, END), np.concatenate(([0], stops + np.arange(1, len(texts) + 1))).astype(np.int64)
+    return np.insert(hashes, stops, END), np.concatenate(([0], stops + np.arange(1, len(lowered) + 1))).astype(np.int64)
 
 
 def contexts(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -110,7 +125,38 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def _counter(pairs: bool):
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, each with the sum of its counts."""
+    all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(all_keys, kind="stable")
+    all_keys, all_counts = all_keys[order], all_counts[order]
+    first = np.flatnonzero(np.concatenate(([True], all_keys[1:] != all_keys[:-1]))) if len(all_keys) else np.empty(0, np.int64)
+    return all_keys[first], np.add.reduceat(all_counts, first) if len(first) else all_counts
+
+
+def _plain(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(keys), 100_000):
+        part = slice(at, at + 100_000)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(counts[part])], ["h", "n"])
+
+
+def _by_segment(segments: int):
+    """A row for each segment that has some of the ordered keys, with these and their counts as bytes."""
+
+    def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        owner = segment_of(keys, segments)  # grows with the keys
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        for first in range(0, len(starts), 256):
+            some = starts[first : first + 256].tolist()
+            ends = starts[first + 1 : first + 257].tolist()
+            cuts = list(zip(some, ends if len(ends) == len(some) else [*ends, len(keys)]))
+            parts = [[column[low:high].tobytes() for low, high in cuts] for column in (keys, counts)]
+            yield pa.RecordBatch.from_arrays([pa.array(owner[some], pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], ["segment", "h", "n"])
+
+    return rows
+
+
+def _counter(pairs: bool, rows=_plain):
     """Counts of tokens, or of pairs of tokens, summed within a task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,17 +164,7 @@ def _counter(pairs: bool):
         held = 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            all_keys = np.concatenate([keys, *waiting])
-            all_counts = np.concatenate([counts, *(np.ones(len(w), np.int64) for w in waiting)])
-            order = np.argsort(all_keys, kind="stable")
-            all_keys, all_counts = all_keys[order], all_counts[order]
-            first = np.flatnonzero(np.concatenate(([True], all_keys[1:] != all_keys[:-1]))) if len(all_keys) else np.empty(0, np.int64)
-            return all_keys[first], np.add.reduceat(all_counts, first) if len(first) else all_counts
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(keys), 100_000):
-                part = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(counts[part])], ["h", "n"])
+            return _summed([keys, *waiting], [counts, *(np.ones(len(w), np.int64) for w in waiting)])
 
         for batch in _slices(batches):
             found, bounds = tokens(batch.column("text").cast(pa.binary()).to_pylist())
@@ -138,10 +174,27 @@ def _counter(pairs: bool):
                 keys, counts = merged()
                 waiting, held = [], 0
                 if len(keys) >= 6_000_000:
-                    yield from rows()
+                    yield from rows(keys, counts)
                     keys, counts = keys[:0], counts[:0]
         keys, counts = merged()
-        yield from rows()
+        yield from rows(keys, counts)
+
+    return run
+
+
+def _packer(segments: int):
+    """Counts (h, n) as rows of segments."""
+    rows = _by_segment(segments)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for batch in batches:
+            keys.append(batch.column("h").to_numpy().view(np.uint64))
+            counts.append(batch.column("n").to_numpy())
+            if sum(map(len, keys)) >= BLOCK_COUNTS:
+                yield from rows(*_summed(keys, counts))
+                keys, counts = keys[:1], counts[:1]
+        yield from rows(*_summed(keys, counts))
 
     return run
 
@@ -168,30 +221,51 @@ def level_value(levels: np.ndarray) -> np.ndarray:
     return ((low + high) / 2)[levels]
 
 
+def entry(keys: np.ndarray, levels: np.ndarray | int) -> np.ndarray:
+    return mix(keys + np.asarray(levels).astype(np.uint64) * _A)
+
+
+def stride(entries: np.ndarray) -> np.ndarray:
+    """How far the probes of an entry lie apart."""
+    return mix(entries ^ _C) | np.uint64(1)
+
+
 def places(keys: np.ndarray, levels: np.ndarray | int, segment_bits: int) -> Iterator[np.ndarray]:
     """Bit places within a segment of the keys' entries at ``levels``, one array for each probe."""
-    at = mix(keys + np.asarray(levels).astype(np.uint64) * _A)
-    step = mix(at ^ _C) | np.uint64(1)
+    at = entry(keys, levels)
+    step = stride(at)
     for k in range(PROBES):
         yield (at + np.uint64(k) * step) & np.uint64(segment_bits - 1)
 
 
 def levels_of(keys: np.ndarray, bits: np.ndarray, segment: np.ndarray, segment_bits: int) -> np.ndarray:
-    """Levels of ``keys``, each looked up in its ``segment`` of the bit array."""
+    """Levels of ``keys``, each looked up in its ``segment`` of the bit array.
+
+    Keys are taken by segment, a block at a time: both their columns and the bits that they need fit the cache.
+    """
     out = np.zeros(len(keys), np.int64)
-    active = np.arange(len(keys))
-    alive, base = keys, segment.astype(np.uint64) * np.uint64(segment_bits)
-    for q in range(1, MAX_LEVEL + 1):
-        there = np.arange(len(active))
-        for k, place in enumerate(places(alive, q, segment_bits)):
-            at = (base if not k else base[there]) + (place if not k else place[there])
-            there = there[bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1]
-            if not len(there):
+    order = np.argsort(segment.astype(np.uint16), kind="stable")
+    last = np.uint64(segment_bits - 1)
+
+    def is_set(at: np.ndarray) -> np.ndarray:
+        found = bits.take((at >> np.uint64(3)).view(np.int64)) >> (at.astype(np.uint8) & np.uint8(7)) & np.uint8(1)
+        return np.flatnonzero(found.view(bool))
+
+    for start in range(0, len(order), BLOCK_KEYS):
+        active = order[start : start + BLOCK_KEYS]
+        alive, base = keys[active], segment[active].astype(np.uint64) * np.uint64(segment_bits)
+        for q in range(1, MAX_LEVEL + 1):
+            at = entry(alive, q)
+            there = is_set(base + (at & last))
+            at = at[there]
+            step = stride(at)
+            for k in range(1, PROBES):
+                kept = is_set(base[there] + ((at + np.uint64(k) * step) & last))
+                there, at, step = there[kept], at[kept], step[kept]
+            active, alive, base = active[there], alive[there], base[there]
+            if not len(active):
                 break
-        active, alive, base = active[there], alive[there], base[there]
-        if not len(active):
-            break
-        out[active] = q
+            out[active] = q
     return out
 
 
@@ -213,26 +287,32 @@ def layout(entries: int, segment_bits: int = SEGMENT_BITS) -> tuple[int, int]:
     return max(SEGMENTS, -(-BITS_PER_ENTRY * entries // bits)), bits
 
 
+def segment_bytes(keys: np.ndarray, counts: np.ndarray, segment_bits: int) -> bytes:
+    """The bit array of a segment's keys."""
+    bits = np.zeros(segment_bits, bool)
+    mine, deep = keys & KEPT, level(counts)
+    q = 1
+    while len(mine):
+        for place in places(mine, q, segment_bits):
+            bits[place.view(np.int64)] = True
+        mine, deep = mine[deep > q], deep[deep > q]
+        q += 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def _segments(segment_bits: int, segments: int = SEGMENTS):
-    """Bit arrays of the segments that a task holds all counts of."""
+    """Bit arrays of the segments that a task holds all counts of; counts (h, n) may come packed by segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
-        for batch in batches:
-            keys = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64) & KEPT
-            levels = level(batch.column("n").to_numpy(zero_copy_only=False))
-            owner = segment_of(keys, segments)
-            for number in np.unique(owner).tolist():
-                bits = made.setdefault(number, np.zeros(segment_bits // 8, np.uint8))
-                mine, deep = keys[owner == number], levels[owner == number]
-                q = 1
-                while len(mine):
-                    for place in places(mine, q, segment_bits):
-                        np.bitwise_or.at(bits, place >> np.uint64(3), np.left_shift(1, place & np.uint64(7)).astype(np.uint8))
-                    mine, deep = mine[deep > q], deep[deep > q]
-                    q += 1
-        for number, bits in made.items():
-            yield pa.RecordBatch.from_pydict({"segment": pa.array([number], pa.int32()), "bits": [bits.tobytes()]})
+        held: dict[int, list] = {}
+        packed = (p for batch in batches for p in ([batch] if "segment" in batch.schema.names else _packer(segments)([batch])))
+        for batch in packed:
+            for number, *raw in zip(batch.column("segment").to_pylist(), *(batch.column(c).to_pylist() for c in "hn")):
+                held.setdefault(number, []).append(raw)
+        while held:
+            number, parts = held.popitem()
+            keys, counts = _summed([np.frombuffer(h, np.uint64) for h, _ in parts], [np.frombuffer(n, np.int64) for _, n in parts])
+            yield pa.RecordBatch.from_pydict({"segment": pa.array([number], pa.int32()), "bits": [segment_bytes(keys, counts, segment_bits)]})
 
     return run
 
@@ -244,11 +324,13 @@ def train(docs: DataFrame, segment_bits: int = SEGMENT_BITS) -> tuple[str, int,
     levels = F.size(F.filter(F.array(*(F.lit(float(t)) for t in THRESHOLDS)), lambda t: t <= F.col("n")))
     total, distinct, entries = single.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(levels), F.lit(0))).first()
     segments, bits = layout(total + entries, segment_bits)  # a pair has no more entries than its count
-    pairs = docs.select("text").mapInArrow(_counter(True), "h long, n long")
-    number = F.shiftright(F.shiftrightunsigned("h", 32) * F.lit(segments).cast("long"), 32).cast("int")
-    counted = pairs.unionByName(single).withColumn("segment", number).repartition("segment").groupBy("segment", "h").agg(F.sum("n").alias("n"))
+    packed = "segment int, h binary, n binary"
+    pairs = docs.select("text").mapInArrow(_counter(True, _by_segment(segments)), packed)
+    counted = pairs.unionByName(single.mapInArrow(_packer(segments), packed))
+    tasks = -(-segments // TASK_SEGMENTS)  # given, as coalesced tasks would hold more segments at once
     path = scratch(docs.sparkSession, "segments")
-    counted.select("h", "n").mapInArrow(_segments(bits, segments), "segment int, bits binary").write.parquet(path)
+    held = counted.repartitionById(tasks, F.call_function("div", F.col("segment"), F.lit(TASK_SEGMENTS)).cast("int"))
+    held.mapInArrow(_segments(bits, segments), "segment int, bits binary").write.parquet(path)
     return path, segments, single, total, distinct
 
 

@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -443,3 +444,36 @@ def test_contamination_finds_the_shortest_items(spark):
     texts = [(k, " ".join([prose(8000 + k, 100 + k), t, prose(9000 + k, 220 - k)])) for k, t in items]
     found = contamination.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k) for k, _ in items}
+
+
+def test_counts_travel_by_segment(monkeypatch):
+    """A row for each segment, not for each pair; what is built from them has the bits of every count."""
+    texts = [prose(9000 + k, 40).encode() for k in range(300)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    plain = pa.Table.from_batches(bloom_lm._counter(True)([batch]))
+    keys, counts = plain.column("h").to_numpy().view(np.uint64), plain.column("n").to_numpy()
+    segments, bits = 300, 1 << 12
+    rows = pa.Table.from_batches(bloom_lm._counter(True, bloom_lm._by_segment(segments))([batch]))
+    owner = bloom_lm.segment_of(keys, segments)
+    assert rows.num_rows == len(np.unique(owner)) < len(keys)
+    for number, h, n in zip(*(rows.column(c).to_pylist() for c in ("segment", "h", "n"))):
+        assert np.frombuffer(h, np.uint64).tolist() == keys[owner == number].tolist()
+        assert np.frombuffer(n, np.int64).tolist() == counts[owner == number].tolist()
+    # counts of two tasks are summed before levels are taken
+    built = bloom_lm._segments(bits, segments)([*rows.to_batches(), *bloom_lm._packer(segments)(plain.to_batches())])
+    whole = np.zeros(segments * bits // 8, np.uint8)
+    for part in built:
+        at = part.column("segment")[0].as_py() * bits // 8
+        whole[at : at + bits // 8] = np.frombuffer(part.column("bits")[0].as_py(), np.uint8)
+    keys = keys & bloom_lm.KEPT
+    for q in range(1, bloom_lm.level(2 * counts).max() + 1):
+        for place in bloom_lm.places(keys[bloom_lm.level(2 * counts) >= q], q, bits):
+            at = bloom_lm.segment_of(keys[bloom_lm.level(2 * counts) >= q], segments).astype(np.uint64) * np.uint64(bits) + place
+            assert (whole[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all()
+    # blocks of any size change nothing
+    found, tokens = bloom_lm.levels_of(keys, whole, owner, bits), bloom_lm.tokens(texts)
+    monkeypatch.setattr(bloom_lm, "BLOCK_KEYS", 7)
+    monkeypatch.setattr(bloom_lm, "BLOCK_BYTES", 50)
+    assert (found >= bloom_lm.level(2 * counts)).all() and (bloom_lm.levels_of(keys, whole, owner, bits) == found).all()
+    assert all((a == b).all() for a, b in zip(bloom_lm.tokens(texts), tokens))
+    assert bloom_lm.tokens([None, b"", b" "])[1].tolist() == [0, 1, 2, 3]
